@@ -1,7 +1,7 @@
 """Day loads: extract, check and merge into the lakehouse, load the warehouse.
 
-Tables live under one root as Parquet, partitioned by year, month and day. The
-partition of a row never changes: orders and reviews take it from their own
+Tables live under one root as Parquet, partitioned by time. The partition of a
+row never changes: orders and reviews take it from their own
 time, items and payments from the purchase day of their order (the load cursor).
 A load therefore touches only the partitions of its days.
 """
@@ -36,9 +36,14 @@ from retailflow.sources.files import read_landing
 
 @dataclass(frozen=True)
 class Lake:
-    """A root folder with ``lakehouse``, ``warehouse``, ``landing`` and ``metrics``."""
+    """A root folder with ``lakehouse``, ``warehouse``, ``landing`` and ``metrics``.
+
+    Tables are partitioned by day; where days are small, ``partition_by`` may be
+    year and month only, and the day is then a plain column.
+    """
 
     root: str
+    partition_by: tuple[str, ...] = tuple(DATE_PARTS)
 
     def table(self, name: str) -> str:
         return f"{self.root}/lakehouse/{name}"
@@ -114,7 +119,9 @@ def load_rows(
             gate(result, rows)
         merged = False
         if ingest and not rows.isEmpty():
-            merge_into_path(rows, lake.table(spec.name), spec.keys, spec.update, DATE_PARTS)
+            merge_into_path(
+                rows, lake.table(spec.name), spec.keys, spec.update, list(lake.partition_by)
+            )
             merged = True
     finally:
         rows.unpersist()
@@ -167,7 +174,7 @@ def warehouse_day(
         merge_rows(rows.drop(*DATE_PARTS), name, keys)
     else:
         update = None if insert_only_items and name == "order_items" else "*"
-        merge_into_path(rows, lake.warehouse(name), keys, update, DATE_PARTS)
+        merge_into_path(rows, lake.warehouse(name), keys, update, list(lake.partition_by))
     return True
 
 

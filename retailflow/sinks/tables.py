@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from retailflow.operators.merge import merge, merge_sql
 
 PARTITIONS_LISTED = 4000
+SMALL_WRITE_ROWS = 5_000_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,15 +24,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
+def spread(df: DataFrame, partition_by: list[str], rows: int | None = None) -> DataFrame:
     """Shuffle rows towards their table partition before a write.
 
     A rebalance, so adaptive execution splits a partition that holds a large
-    share of the rows and joins up small ones; file sizes stay even.
+    share of the rows, and file sizes stay even. Adaptive execution would join a
+    small frame into one task, which then writes all files alone; a frame known
+    to have at most ``SMALL_WRITE_ROWS`` rows is spread over all cores instead.
     """
     if not partition_by:
         return df
-    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    columns = [F.col(c) for c in partition_by]
+    if rows is not None and rows <= SMALL_WRITE_ROWS:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+    return df.hint("rebalance", *columns)
 
 
 def create_table(
@@ -42,8 +48,12 @@ def create_table(
     if_absent: bool = True,
     replace: bool = False,
     fmt: str = "parquet",
+    rows: int | None = None,
 ) -> bool:
-    """Create a catalog table from a frame; True when it was written."""
+    """Create a catalog table from a frame; True when it was written.
+
+    ``rows`` is the size of the frame, if known (see ``spread``).
+    """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     if exists and not replace:
@@ -51,7 +61,7 @@ def create_table(
             return False
         raise ValueError(f"table {name} exists")
     partition_by = partition_by or []
-    writer = spread(df, partition_by).write.format(fmt).option("compression", "snappy")
+    writer = spread(df, partition_by, rows).write.format(fmt).option("compression", "snappy")
     writer = writer.mode("overwrite" if replace else "error")
     if path:
         writer = writer.option("path", path)
@@ -127,12 +137,14 @@ def merge_into_path(
     atomic; table formats with MERGE (see ``merge_into_table``) give that.
     """
     spark = source.sparkSession
+    rows = source.count()
     if path_exists(spark, path):
         target = _touched(spark.read.parquet(path), source, partition_by)
         merged = merge(target, source, keys, update)
+        rows += target.count()  # from file footers
     else:
         merged = source
-    writer = spread(merged, partition_by).write.option("compression", "snappy")
+    writer = spread(merged, partition_by, rows).write.option("compression", "snappy")
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partition_by
     ).parquet(path)
