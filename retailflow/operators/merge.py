@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.session import BROADCAST_ROWS, broadcast_if_small
+from retailflow.session import BROADCAST_ROWS, fits_broadcast
 
 SALTS = 16
 
@@ -48,16 +48,14 @@ def merge(
     rows, repeated = _key_counts(keyed_source, keys)
     if repeated and changed and check_cardinality:
         _refuse_conflicts(keyed_target, keyed_source, keys)
-    small = rows <= BROADCAST_ROWS
+    small = rows <= BROADCAST_ROWS and fits_broadcast(keyed_source)
 
     parts = []
     if changed:
         patch = keyed_source.select(
             *keys, *[F.col(c).alias(f"__new_{c}") for c in changed], F.lit(True).alias("__hit")
         )
-        if small:
-            patch = broadcast_if_small(patch)
-        joined = keyed_target.join(patch, keys, "left")
+        joined = keyed_target.join(F.broadcast(patch) if small else patch, keys, "left")
         parts.append(
             joined.select(
                 *[
@@ -89,8 +87,8 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str], order_by:
     lead = F.struct(*order_by, *[c for c in rest if c not in order_by])
     firsts = keyed.groupBy(*keys).agg(F.min(lead).alias("__row"))
     firsts = firsts.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in target.columns])
-    rows, _ = _key_counts(keyed, keys)
-    fresh = _unmatched(firsts, _split_null_keys(target, keys)[0], keys, rows <= BROADCAST_ROWS, False)
+    small = fits_broadcast(firsts.select(*keys))
+    fresh = _unmatched(firsts, _split_null_keys(target, keys)[0], keys, small, False)
     return target.unionByName(fresh).unionByName(loose)
 
 
@@ -187,8 +185,7 @@ def _unmatched(
     known = target.select(*keys)
     if small:
         # Only the target keys that occur in the small source leave their partition.
-        wanted = broadcast_if_small(source.select(*keys).distinct())
-        known = known.join(wanted, keys, "left_semi")
+        known = known.join(F.broadcast(source.select(*keys)), keys, "left_semi")
     known = known.distinct()
     if not repeated:
         return source.join(known, keys, "left_anti")

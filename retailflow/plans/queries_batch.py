@@ -12,6 +12,7 @@ from retailflow.operators import joins, lifecycle, slices
 from retailflow.operators.merge import field_upsert, insert_new, keyed_update, merge
 from retailflow.plans import oracles as sql
 from retailflow.plans.catalogue import query
+from retailflow.session import widen
 from retailflow.sources import sample_tables as src
 
 DAY = "1998-10-03"
@@ -81,7 +82,7 @@ def payment_type_by_month(spark, d):
       SELECT unnest({sql.WORDS}) AS word FROM documents WHERE text IS NOT NULL) GROUP BY 1""",
 )
 def review_words(spark, d):
-    found = split_words(src.table(spark, d, "documents"), "text")
+    found = split_words(widen(src.table(spark, d, "documents").select("text")), "text")
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -90,7 +91,8 @@ def review_words(spark, d):
     f"""SELECT doc_id, len({sql.WORDS}) AS n_words, len(list_distinct({sql.WORDS})) AS n_distinct FROM documents""",
 )
 def review_word_totals(spark, d):
-    found = src.table(spark, d, "documents").select("doc_id", words("text").alias("w"))
+    docs = widen(src.table(spark, d, "documents").select("doc_id", "text"))
+    found = docs.select("doc_id", words("text").alias("w"))
     return found.select(
         "doc_id",
         F.size("w").cast("bigint").alias("n_words"),

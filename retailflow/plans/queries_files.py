@@ -28,7 +28,7 @@ from retailflow.plans.queries_batch import (
     items_batch,
     money,
 )
-from retailflow.session import scratch_path
+from retailflow.session import scratch_path, widen
 from retailflow.sinks.landing import write_csv
 from retailflow.sinks.tables import create_table, refresh_table, replicate, write_table
 from retailflow.sources import files
@@ -359,7 +359,7 @@ def echo(texts: list[str]) -> list[str]:
       CASE WHEN source = '' THEN source ELSE '{PROMPT_PREFIX}' || source END AS source FROM documents""",
 )
 def translate_reviews_stub(spark, d):
-    docs = src.table(spark, d, "documents").select("doc_id", "text", "source")
+    docs = widen(src.table(spark, d, "documents").select("doc_id", "text", "source"))
     return translate_columns(docs, ["text", "source"], translate=echo)
 
 

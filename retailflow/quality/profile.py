@@ -33,6 +33,37 @@ def _number(df: DataFrame, column: str) -> Column | None:
     return None
 
 
+def _inferred_type(df: DataFrame, name: str, i: int) -> tuple[Column, list[Column]]:
+    """The inferred type of a column and the aggregates it needs.
+
+    Only text is classified value by value; other types have one class.
+    """
+    n = F.col(f"n{i}")
+    kind = df.schema[name].dataType
+    if not isinstance(kind, T.StringType):
+        label = (
+            INTEGRAL if isinstance(kind, T.IntegralType)
+            else FRACTIONAL if isinstance(kind, T.NumericType)
+            else BOOLEAN if isinstance(kind, T.BooleanType)
+            else STRING
+        )
+        return F.when(n == 0, F.lit("Unknown")).otherwise(F.lit(label)), []
+    value = type_class(df, name)
+    counted = [
+        F.count_if(value == INTEGRAL).alias(f"ti{i}"),
+        F.count_if(value == FRACTIONAL).alias(f"tf{i}"),
+        F.count_if(value == BOOLEAN).alias(f"tb{i}"),
+    ]
+    inferred = (
+        F.when(n == 0, F.lit("Unknown"))
+        .when(F.col(f"ti{i}") == n, F.lit(INTEGRAL))
+        .when(F.col(f"ti{i}") + F.col(f"tf{i}") == n, F.lit(FRACTIONAL))
+        .when(F.col(f"tb{i}") == n, F.lit(BOOLEAN))
+        .otherwise(F.lit(STRING))
+    )
+    return inferred, counted
+
+
 def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
     """One row per column, all columns in one pass.
 
@@ -42,36 +73,29 @@ def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     rows = []
     for i, name in enumerate(df.columns):
-        kind = type_class(df, name)
-        number = _number(df, name)
-        aggs += [
-            F.count(name).alias(f"n{i}"),
-            F.approx_count_distinct(name).alias(f"d{i}"),
-            F.count_if(kind == INTEGRAL).alias(f"ti{i}"),
-            F.count_if(kind == FRACTIONAL).alias(f"tf{i}"),
-            F.count_if(kind == BOOLEAN).alias(f"tb{i}"),
-        ]
         n = F.col(f"n{i}")
-        inferred = (
-            F.when(n == 0, F.lit("Unknown"))
-            .when(F.col(f"ti{i}") == n, F.lit(INTEGRAL))
-            .when(F.col(f"ti{i}") + F.col(f"tf{i}") == n, F.lit(FRACTIONAL))
-            .when(F.col(f"tb{i}") == n, F.lit(BOOLEAN))
-            .otherwise(F.lit(STRING))
-        )
+        aggs += [F.count(name).alias(f"n{i}"), F.approx_count_distinct(name).alias(f"d{i}")]
+        inferred, counted = _inferred_type(df, name, i)
+        aggs += counted
+        number = _number(df, name)
         measures = {m: F.lit(None).cast("double") for m in ("min", "max", "mean", "sum", "std_dev")}
         quantiles = F.lit(None).cast("array<double>")
         if number is not None:
             aggs += [
                 F.min(number).alias(f"lo{i}"),
                 F.max(number).alias(f"hi{i}"),
-                F.avg(number).alias(f"av{i}"),
                 F.sum(number).alias(f"su{i}"),
                 F.stddev_pop(number).alias(f"sd{i}"),
             ]
             is_number = inferred.isin(INTEGRAL, FRACTIONAL)
-            short = {"min": "lo", "max": "hi", "mean": "av", "sum": "su", "std_dev": "sd"}
-            measures = {m: F.when(is_number, F.col(f"{s}{i}")) for m, s in short.items()}
+            found = {
+                "min": F.col(f"lo{i}"),
+                "max": F.col(f"hi{i}"),
+                "mean": F.col(f"su{i}") / n,
+                "sum": F.col(f"su{i}"),
+                "std_dev": F.col(f"sd{i}"),
+            }
+            measures = {m: F.when(is_number, v) for m, v in found.items()}
             if percentiles:
                 aggs.append(F.percentile_approx(number, PERCENTILES).alias(f"pc{i}"))
                 quantiles = F.when(is_number, F.col(f"pc{i}"))

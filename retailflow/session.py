@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 250_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
 
@@ -69,3 +69,15 @@ def broadcast_if_small(
     adaptive execution splits skewed partitions.
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer tasks than there are cores.
+
+    For work that is heavy per row (text patterns, model calls) on few or
+    unsplittable files. A scan of a large table has more tasks than cores and is
+    returned as it is, without a shuffle. ``scan`` must be a plain read with
+    filters and projections.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
