@@ -69,11 +69,11 @@ def time_groups(df: DataFrame, ts: str) -> DataFrame:
 
 def key_probe(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows, distinct keys and keys that occur more than once."""
-    per_key = df.groupBy(*keys).agg(_count("n"))
+    per_key = df.groupBy(*keys).agg(_count("__n"))
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),
         _count("n_keys"),
-        F.count_if(F.col("n") > 1).alias("n_repeated_keys"),
+        F.count_if(F.col("__n") > 1).alias("n_repeated_keys"),
     )
 
 

@@ -47,14 +47,13 @@ def day_children(
     picked = selected_orders(orders, day, lookback_days=lookback_days)
     if not keep_empty:
         return child.join(picked, "order_id").select(*child.columns)
-    return _null_rows(picked, child)
+    joined = left_by_parts(picked, child, narrow=True)
+    return joined.select(*[F.col(f"__{c}").alias(c) for c in child.columns])
 
 
 def children_right(orders: DataFrame, child: DataFrame, day: str) -> DataFrame:
     """Child columns of ``child RIGHT JOIN selected orders``."""
-    picked = selected_orders(orders, day).withColumnRenamed("order_id", "picked_id")
-    joined = child.join(picked, child["order_id"] == F.col("picked_id"), "right")
-    return joined.select(*child.columns)
+    return day_children(orders, child, day, keep_empty=True)
 
 
 def children_of_selected(orders: DataFrame, child: DataFrame, day: str) -> DataFrame:
@@ -73,17 +72,29 @@ def orders_without(orders: DataFrame, child: DataFrame) -> DataFrame:
 
 def order_fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders left-joined with items and payments: one row per combination."""
-    return orders.join(items, "order_id", "left").join(payments, "order_id", "left")
-
-
-def _null_rows(picked: DataFrame, child: DataFrame) -> DataFrame:
-    # Inner matches plus one null row per childless order. Both joins stream the
-    # child table past the picked ids; a left join from the small side would have
-    # to shuffle the whole child table.
-    matched = child.join(picked, "order_id").select(*child.columns)
-    with_child = child.select("order_id").join(picked, "order_id", "left_semi").distinct()
-    childless = picked.join(with_child, "order_id", "left_anti")
-    nulls = childless.select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in child.schema.fields]
-    )
-    return matched.unionByName(nulls)
+    wide = orders
+    for child in (items, payments):
+        joined = left_by_parts(wide, child)
+        rest = [c for c in child.columns if c != "order_id"]
+        wide = joined.select(*wide.columns, *[F.col(f"__{c}").alias(c) for c in rest])
+    return wide
+
+
+def left_by_parts(parent: DataFrame, child: DataFrame, narrow: bool = False) -> DataFrame:
+    """``parent LEFT JOIN child`` on ``order_id``; child columns get a ``__`` prefix.
+
+    Done as an inner join plus the childless parents. In an inner join adaptive
+    execution may split either side, so an order with a huge share of the child
+    rows is spread over tasks, and a small parent can be broadcast; a left join
+    allows neither. Parents of a null id have no children. ``narrow`` says that
+    the parent is a small part of all parents: child ids are then matched before
+    they are made distinct.
+    """
+    renamed = child.withColumnsRenamed({c: f"__{c}" for c in child.columns})
+    matched = parent.join(renamed, F.col("order_id") == F.col("__order_id"))
+    with_child = child.select("order_id")
+    if narrow:
+        with_child = with_child.join(parent.select("order_id"), "order_id", "left_semi")
+    childless = parent.join(with_child.distinct(), "order_id", "left_anti").select(*parent.columns)
+    nulls = {f"__{f.name}": F.lit(None).cast(f.dataType) for f in child.schema.fields}
+    return matched.unionByName(childless.withColumns(nulls))

@@ -156,24 +156,22 @@ def _order_state(df: DataFrame, bought: str, stages: list[str], final_status: st
 
 def review_events(reviews: DataFrame) -> DataFrame:
     """Created and answered events of reviews; a created event carries no answer."""
-    fields = REVIEW_ANSWER_FIELDS
-    created = reviews.select(
-        *REVIEW_KEYS,
-        "review_creation_date",
-        *[F.lit(None).cast(reviews.schema[c].dataType).alias(c) for c in fields],
-        F.lit("created").alias("stage"),
-        F.lit(0).alias("ordinal"),
-        F.col("review_creation_date").alias("timestamp"),
-    )
-    answered = reviews.select(
-        *REVIEW_KEYS,
-        "review_creation_date",
-        *fields,
-        F.lit("answered").alias("stage"),
-        F.lit(1).alias("ordinal"),
-        F.col("review_answer_timestamp").alias("timestamp"),
-    )
-    return created.unionByName(answered).filter(F.col("timestamp").isNotNull())
+    nothing = [F.lit(None).cast(reviews.schema[c].dataType).alias(c) for c in REVIEW_ANSWER_FIELDS]
+    stages = [
+        ("created", "review_creation_date", nothing),
+        ("answered", "review_answer_timestamp", [F.col(c) for c in REVIEW_ANSWER_FIELDS]),
+    ]
+    rows = [
+        F.struct(
+            *fields,
+            F.lit(stage).alias("stage"),
+            F.lit(i).alias("ordinal"),
+            F.col(column).alias("timestamp"),
+        )
+        for i, (stage, column, fields) in enumerate(stages)
+    ]
+    events = reviews.select(*REVIEW_KEYS, "review_creation_date", F.inline(F.array(*rows)))
+    return events.filter(F.col("timestamp").isNotNull())
 
 
 def review_state(events: DataFrame, at: str) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.session import BROADCAST_ROWS, fits_broadcast
+from retailflow.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 
 SALTS = 16
 
@@ -35,7 +35,8 @@ def merge(
     ``update``: ``"*"`` for all non-key columns, a list of columns, or ``None``
     to leave matched rows as they are. Unmatched source rows are inserted whole
     unless ``insert`` is false. Two source rows that match one target row raise
-    ``MergeConflict``; unmatched duplicates are all inserted.
+    ``MergeConflict`` (without ``check_cardinality`` the greatest row wins);
+    unmatched duplicates are all inserted.
 
     A count of the source per key runs first. It picks the plan: a source within
     the broadcast bounds leaves the target unshuffled.
@@ -52,7 +53,8 @@ def merge(
 
     parts = []
     if changed:
-        patch = keyed_source.select(
+        patch = _one_per_key(keyed_source, keys) if repeated else keyed_source
+        patch = patch.select(
             *keys, *[F.col(c).alias(f"__new_{c}") for c in changed], F.lit(True).alias("__hit")
         )
         joined = keyed_target.join(F.broadcast(patch) if small else patch, keys, "left")
@@ -87,7 +89,7 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str], order_by:
     lead = F.struct(*order_by, *[c for c in rest if c not in order_by])
     firsts = keyed.groupBy(*keys).agg(F.min(lead).alias("__row"))
     firsts = firsts.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in target.columns])
-    small = fits_broadcast(firsts.select(*keys))
+    small = fits_broadcast(keyed.select(*keys))
     fresh = _unmatched(firsts, _split_null_keys(target, keys)[0], keys, small, False)
     return target.unionByName(fresh).unionByName(loose)
 
@@ -167,18 +169,27 @@ def _split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFra
 
 
 def _key_counts(df: DataFrame, keys: list[str]) -> tuple[int, bool]:
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    row = per_key.agg(F.sum("__n").alias("rows"), F.max("__n").alias("most")).first()
     return row["rows"] or 0, (row["most"] or 0) > 1
 
 
 def _refuse_conflicts(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
-    repeated = source.groupBy(*keys).count().filter("count > 1").select(*keys)
-    hit = repeated.join(target.select(*keys).distinct(), keys, "left_semi").first()
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = repeated.filter("__n > 1").select(*keys)
+    hit = target.select(*keys).join(broadcast_if_small(repeated), keys, "left_semi").first()
     if hit is not None:
         raise MergeConflict(f"more than one source row matches the target row {hit.asDict()}")
 
 
+def _one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    rows = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row"))
+    return rows.select(*keys, "__row.*")
+
+
 def _unmatched(
     source: DataFrame, target: DataFrame, keys: list[str], small: bool, repeated: bool
 ) -> DataFrame:

@@ -143,9 +143,9 @@ def run_checks(df: DataFrame, check: Check) -> DataFrame:
 
 def uniqueness(df: DataFrame, columns: list[str]) -> DataFrame:
     """Share of non-null rows whose value occurs exactly once."""
-    per_value = df.na.drop(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    once = F.sum(F.when(F.col("n") == 1, 1).otherwise(0))
-    return per_value.agg((once / F.sum("n")).cast("double").alias("uniqueness"))
+    per_value = df.na.drop(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    once = F.sum(F.when(F.col("__n") == 1, 1).otherwise(0))
+    return per_value.agg((once / F.sum("__n")).cast("double").alias("uniqueness"))
 
 
 def has_errors(result: DataFrame) -> bool:
@@ -177,7 +177,7 @@ def _null(name: str) -> Column:
 def _ratio(df: DataFrame, c: Constraint) -> Column:
     value = F.col(c.column)
     if c.kind == "Completeness":
-        return F.count(value) / F.count(F.lit(1))
+        return F.try_divide(F.count(value), F.count(F.lit(1)))
     if c.kind == "Containment":
         return F.avg(F.when(value.isNull() | value.isin(*c.values), 1).otherwise(0))
     if c.kind == "Positive":

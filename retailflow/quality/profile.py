@@ -91,7 +91,7 @@ def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
             found = {
                 "min": F.col(f"lo{i}"),
                 "max": F.col(f"hi{i}"),
-                "mean": F.col(f"su{i}") / n,
+                "mean": F.try_divide(F.col(f"su{i}"), n),
                 "sum": F.col(f"su{i}"),
                 "std_dev": F.col(f"sd{i}"),
             }
@@ -103,7 +103,7 @@ def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
             F.struct(
                 F.lit(name).alias("column"),
                 inferred.alias("data_type"),
-                (n / F.col("n_rows")).alias("completeness"),
+                F.try_divide(n, F.col("n_rows")).alias("completeness"),
                 F.col(f"d{i}").alias("approx_distinct"),
                 F.col("n_rows").alias("n_rows"),
                 n.alias("n_non_null"),
@@ -153,7 +153,7 @@ def analyze(df: DataFrame, complete: list[str] | None = None, size: bool = True)
         rows.append(("Dataset", "*", "Size", F.col("n_rows").cast("double")))
     for i, c in enumerate(complete or []):
         aggs.append(F.count(c).alias(f"n{i}"))
-        rows.append(("Column", c, "Completeness", F.col(f"n{i}") / F.col("n_rows")))
+        rows.append(("Column", c, "Completeness", F.try_divide(F.col(f"n{i}"), F.col("n_rows"))))
     structs = [
         F.struct(
             F.lit(entity).alias("entity"),

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 
 from retailflow.sources.files import CSV_DIALECT, landing_path
 
+# A record may span lines, so a reader takes a file whole: keep files moderate.
+ROWS_PER_FILE = 1_000_000
+
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """Quoted CSV; null is an empty field, an empty text is two quotes."""
     writer = df.write.mode(mode).options(**CSV_DIALECT).option("header", header)
-    writer = writer.option("quoteAll", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    writer = writer.option("quoteAll", True).option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer = writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 
 

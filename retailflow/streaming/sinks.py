@@ -52,9 +52,12 @@ def upsert_sink(keys: list[str], position: list[str], writer: Writer, rejected:
 
     def sink(df: DataFrame, batch_id: int) -> None:
         malformed = _any_null(keys)
+        if rejected:
+            df = df.persist()  # read by both writers
         writer(latest_state(df.filter(~malformed), keys, position), batch_id)
         if rejected:
             rejected(df.filter(malformed), batch_id)
+            df.unpersist()
 
     return sink
 
