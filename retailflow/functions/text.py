@@ -34,7 +34,7 @@ def pg_initcap(text) -> Column:
     runs = F.regexp_extract_all(
         F.lower(_col(text)), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1)
     )
-    return F.concat_ws("", F.transform(runs, F.initcap))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def normal_city(city) -> Column:

@@ -11,9 +11,10 @@ ROWS_PER_FILE = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """Quoted CSV; null is an empty field, an empty text is two quotes."""
+    """CSV that keeps texts as they are; null is an empty field, an empty text two quotes."""
     writer = df.write.mode(mode).options(**CSV_DIALECT).option("header", header)
-    writer = writer.option("quoteAll", True).option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
     writer = writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 

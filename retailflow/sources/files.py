@@ -10,6 +10,7 @@ from retailflow.model import TABLES
 
 # CSV dialect of every landing file: quotes are doubled inside quoted text.
 CSV_DIALECT = {"quote": '"', "escape": '"'}
+NULL_MARK = "\u0000"
 
 
 def read_csv_table(
@@ -26,10 +27,12 @@ def read_csv_table(
     With a header, columns are bound by name: a file in another column order is
     read right. ``multiline`` keeps records with line breaks whole, at the price
     of one task per file. ``compat`` binds by position and breaks records at
-    line ends. Without a schema all columns are text, unless ``infer`` is set.
+    line ends. An empty field is null and two quotes are an empty text. Without a schema all columns are text, unless ``infer`` is set.
     """
     reader = spark.read.options(**CSV_DIALECT).option("header", header)
     reader = reader.option("multiLine", multiline and not compat)
+    # The null mark stands for fields with nothing between the commas.
+    reader = reader if compat else reader.option("nullValue", NULL_MARK)
     if schema is None:
         return reader.option("inferSchema", infer).csv(path)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -12,9 +12,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(4)
-    session.conf.set("spark.sql.shuffle.partitions", "4")
-    return session
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    return local_session(4, {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": scratch})
 
 
 @pytest.fixture
