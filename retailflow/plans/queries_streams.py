@@ -174,8 +174,8 @@ def cdc_latest_state(spark, d):
 def _feed(df, spark, name):
     """Write messages as Parquet files and open them as a stream."""
     path = scratch_path(spark, f"{name}_feed")
-    df.repartition(4).write.parquet(path)
-    return read_change_stream(spark, path, "parquet", df.schema, files_per_batch=2)
+    df.write.parquet(path)
+    return read_change_stream(spark, path, "parquet", df.schema)
 
 
 def _through_files(rows, spark, name):

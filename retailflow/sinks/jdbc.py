@@ -40,14 +40,18 @@ def staged_merge(
     execute: Callable[[list[str]], None],
     update: str | list[str] | None = "*",
     write: Callable[..., None] = write_jdbc,
+    before: list[str] | None = None,
 ) -> list[str]:
     """Merge a frame into a database table through a staging table.
 
     Executors write the staging table; ``execute`` then runs the merge and the
     drop of the staging table as one transaction in the database. The target is
-    created empty when missing. Returns the statements that were executed.
+    created empty when missing, or by the ``before`` statements. Returns the
+    statements of the transaction.
     """
     staging = staging_name(table)
+    if before:
+        execute(before)
     write(df.limit(0), url, table, "ignore", properties)
     write(df, url, staging, "overwrite", properties)
     statements = [
@@ -58,6 +62,12 @@ def staged_merge(
     return statements
 
 
+def clear_statements(table: str, how: str) -> list[str]:
+    """Statements that empty (``delete``) or remove (``drop``) a database table."""
+    texts = {"delete": f"DELETE FROM {table}", "drop": f"DROP TABLE IF EXISTS {table}"}
+    return [texts[how]]
+
+
 def transaction(connect: Callable[[], object]) -> Callable[[list[str]], None]:
     """An ``execute`` for ``staged_merge`` over a DB-API connection."""
 

@@ -128,16 +128,18 @@ def merge_into_path(
     keys: list[str],
     update: str | list[str] | None,
     partition_by: list[str],
-) -> None:
+) -> int:
     """Merge into a partitioned Parquet table, rewriting only touched partitions.
 
+    Returns the number of source rows.
+
     Valid where the partition of a row never changes: every row with the same
     key then lies in the partitions that the source names, and the rest of the
     table is neither read nor written. The swap of several partitions is not
     atomic; table formats with MERGE (see ``merge_into_table``) give that.
     """
     spark = source.sparkSession
-    rows = source.count()
+    n_source = rows = source.count()
     if path_exists(spark, path):
         target = _touched(spark.read.parquet(path), source, partition_by)
         merged = merge(target, source, keys, update)
@@ -148,6 +150,7 @@ def merge_into_path(
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partition_by
     ).parquet(path)
+    return n_source
 
 
 def merge_into_table(

@@ -27,7 +27,8 @@ def read_csv_table(
     With a header, columns are bound by name: a file in another column order is
     read right. ``multiline`` keeps records with line breaks whole, at the price
     of one task per file. ``compat`` binds by position and breaks records at
-    line ends. An empty field is null and two quotes are an empty text. Without a schema all columns are text, unless ``infer`` is set.
+    line ends. An empty field is null, two quotes are an empty text. Without a
+    schema all columns are text, unless ``infer`` is set.
     """
     reader = spark.read.options(**CSV_DIALECT).option("header", header)
     reader = reader.option("multiLine", multiline and not compat)

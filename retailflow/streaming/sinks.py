@@ -94,6 +94,15 @@ def start_files(
     return writer.start(path)
 
 
+def start_console(df: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Start a query that prints its rows."""
+    writer = df.writeStream.format("console").option("truncate", False)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def start_all(
     streams: dict[str, tuple[DataFrame, Writer]], checkpoint_root: str, available_now: bool = True
 ) -> dict[str, StreamingQuery]:

@@ -69,7 +69,8 @@ def test_orders_day_by_day(spark, tmp_path):
     assert rows(table, "order_id", "customer_id", "order_status") == [
         ("a", "ca", "approved"), ("b", "cb", "created"), ("c", "cc", "created"),
     ]
-    assert run_day(spark, tabs, lake, "orders", "2017-01-09") is False
+    assert run_day(spark, tabs, lake, "orders", "2017-01-09") == 0
+    assert rows(lakes.post_check(spark, lake, "orders")) == [("orders", "Error", True, 0)]
 
     assert lakes.warehouse_day(spark, lake, "orders", D1)
     assert lakes.warehouse_day(spark, lake, "orders", D1)
@@ -112,7 +113,9 @@ def test_children_follow_the_day_of_their_order(spark, tmp_path):
     assert rows(spark.read.parquet(lake.table("order_items")), "order_id", "price", "day") == [
         ("a", pytest.approx(10.5), 1), ("c", pytest.approx(3.0), 2),
     ]
-    assert lakes.backfill(tabs, lake, "order_payments", D1, "2017-01-03")
+    with pytest.raises(ValueError):
+        lakes.extract_day(tabs, "order_items", D2, lake.root, lookback_days=1)
+    assert lakes.backfill(tabs, lake, "order_payments", D1, "2017-01-03") == 3
     assert lakes.backfill(tabs, lake, "order_payments", D1, "2017-01-03")
     assert rows(spark.read.parquet(lake.table("order_payments")), "order_id", "day") == [("a", 1), ("b", 1), ("c", 2)]
 
@@ -248,6 +251,24 @@ def test_staged_merge_statements(spark):
         jdbc_sink.write_jdbc(df, "jdbc:x", "t", "upsert", {})
 
 
+def test_command_line(spark, tmp_path):
+    from retailflow.plans import cli
+
+    root = str(tmp_path)
+    tabs = make_tables(spark, [order("a", D1)])
+    lakes.extract_day(tabs, "orders", D1, root)
+    day = ["--table-name", "orders", "--date-cursor", D1, "--root", root]
+    assert cli.run(spark, ["lakehouse", *day, "--test"]) == 0
+    assert cli.run(spark, ["lakehouse", *day, "--test", "--ingest", "--profile"]) == 1
+    assert cli.run(spark, ["warehouse", *day, "--ingest"]) == 1
+    assert spark.read.parquet(f"{root}/warehouse/orders").count() == 1
+    assert spark.read.json(f"{root}/metrics").select("task").distinct().count() == 2
+    spark.createDataFrame([("s1",)], "seller_id string").write.parquet(f"{root}/lakehouse/sellers")
+    assert cli.run(spark, ["warehouse", "--table-name", "sellers", "--root", root, "--ingest"]) == 1
+    with pytest.raises(SystemExit):
+        cli.run(spark, ["lakehouse", "--table-name", "nope", "--root", root])
+
+
 def test_transaction_rolls_back():
     log = []
 
