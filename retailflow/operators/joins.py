@@ -9,6 +9,7 @@ from retailflow.operators.slices import day_slice, month_slice
 from retailflow.session import broadcast_if_small
 
 PURCHASED = "order_purchase_timestamp"
+HOT_ROWS = 1_000_000
 
 
 def with_parent_time(
@@ -47,7 +48,7 @@ def day_children(
     picked = selected_orders(orders, day, lookback_days=lookback_days)
     if not keep_empty:
         return child.join(picked, "order_id").select(*child.columns)
-    joined = left_by_parts(picked, child, narrow=True)
+    joined = left_from_few(picked, child)
     return joined.select(*[F.col(f"__{c}").alias(c) for c in child.columns])
 
 
@@ -72,29 +73,46 @@ def orders_without(orders: DataFrame, child: DataFrame) -> DataFrame:
 
 def order_fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders left-joined with items and payments: one row per combination."""
-    wide = orders
-    for child in (items, payments):
-        joined = left_by_parts(wide, child)
-        rest = [c for c in child.columns if c != "order_id"]
-        wide = joined.select(*wide.columns, *[F.col(f"__{c}").alias(c) for c in rest])
-    return wide
-
-
-def left_by_parts(parent: DataFrame, child: DataFrame, narrow: bool = False) -> DataFrame:
-    """``parent LEFT JOIN child`` on ``order_id``; child columns get a ``__`` prefix.
-
-    Done as an inner join plus the childless parents. In an inner join adaptive
-    execution may split either side, so an order with a huge share of the child
-    rows is spread over tasks, and a small parent can be broadcast; a left join
-    allows neither. Parents of a null id have no children. ``narrow`` says that
-    the parent is a small part of all parents: child ids are then matched before
-    they are made distinct.
+    return left_join_spread(left_join_spread(orders, items), payments)
+
+
+def left_join_spread(parent: DataFrame, child: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``parent LEFT JOIN child`` on ``order_id`` that survives huge orders.
+
+    A left join cannot split the child rows of one id over tasks. So the ids with
+    more than ``hot_rows`` child rows are found first, with partial counts on the
+    id column alone; there are few of them by the bound itself. Their parents are
+    joined from the child side, where the rows stay where they are. Every hot id
+    has children, so an inner join loses none of its parents.
+    """
+    plain = parent.join(child, "order_id", "left")
+    if child.count() <= hot_rows:  # from file footers, for a table of files
+        return plain
+    counts = child.groupBy("order_id").agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter((F.col("__n") > hot_rows) & F.col("order_id").isNotNull())
+    if hot.isEmpty():
+        return plain
+    hot = broadcast_if_small(hot.select("order_id"))
+    rest = [c for c in child.columns if c != "order_id"]
+    cold = parent.join(hot, "order_id", "left_anti").join(
+        child.join(hot, "order_id", "left_anti"), "order_id", "left"
+    )
+    parents = broadcast_if_small(parent.join(hot, "order_id", "left_semi"))
+    large = child.join(hot, "order_id", "left_semi").join(parents, "order_id")
+    columns = [*parent.columns, *rest]
+    return cold.select(columns).unionByName(large.select(columns))
+
+
+def left_from_few(parent: DataFrame, child: DataFrame) -> DataFrame:
+    """``parent LEFT JOIN child`` on ``order_id`` for few parents; child columns get ``__``.
+
+    Done as an inner join plus the childless parents: that way a broadcast of the
+    parents leaves the child table unshuffled, which a left join would not.
+    Parents of a null id have no children.
     """
     renamed = child.withColumnsRenamed({c: f"__{c}" for c in child.columns})
     matched = parent.join(renamed, F.col("order_id") == F.col("__order_id"))
-    with_child = child.select("order_id")
-    if narrow:
-        with_child = with_child.join(parent.select("order_id"), "order_id", "left_semi")
+    with_child = child.select("order_id").join(parent.select("order_id"), "order_id", "left_semi")
     childless = parent.join(with_child.distinct(), "order_id", "left_anti").select(*parent.columns)
     nulls = {f"__{f.name}": F.lit(None).cast(f.dataType) for f in child.schema.fields}
     return matched.unionByName(childless.withColumns(nulls))

@@ -17,7 +17,7 @@ from pyspark.storagelevel import StorageLevel
 
 from retailflow.functions.time import next_day
 from retailflow.model import DATE_PARTS, FACTS, FIRST_DAY, REVIEW_IS_VALID, WAREHOUSE_KEYS, TableSpec
-from retailflow.operators.joins import PURCHASED, left_by_parts
+from retailflow.operators.joins import PURCHASED, left_from_few
 from retailflow.operators.slices import (
     add_cursor_parts,
     add_date_parts,
@@ -76,7 +76,7 @@ def extract_days(
     child = tables[name]
     if not keep_empty:
         return child.join(picked, "order_id").select(*child.columns, *DATE_PARTS)
-    joined = left_by_parts(picked, child, narrow=True)
+    joined = left_from_few(picked, child)
     return joined.select(*[F.col(f"__{c}").alias(c) for c in child.columns], *DATE_PARTS)
 
 
