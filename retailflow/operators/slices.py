@@ -43,6 +43,15 @@ def partition_slice(df: DataFrame, day: str) -> DataFrame:
     return df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == dom))
 
 
+def partition_range(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows of the days ``[start, end)`` of a table partitioned by year, month and day."""
+    lo, hi = cursor_parts(start), cursor_parts(end)
+    day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+    bounds = [y * 10000 + m * 100 + d for y, m, d in (lo, hi)]
+    years = F.col("year").between(lo[0], hi[0])
+    return df.filter(years & (day >= bounds[0]) & (day < bounds[1]))
+
+
 def add_date_parts(df: DataFrame, ts: str) -> DataFrame:
     """Add integer ``year``, ``month`` and ``day`` of a timestamp column."""
     return df.withColumns(

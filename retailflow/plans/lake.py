@@ -22,6 +22,7 @@ from retailflow.operators.slices import (
     add_cursor_parts,
     add_date_parts,
     days_slice,
+    partition_range,
     partition_slice,
     split_valid,
 )
@@ -163,10 +164,11 @@ def warehouse_day(
     lake: Lake,
     name: str,
     day: str,
+    end: str | None = None,
     merge_rows: Callable[[DataFrame, str, list[str]], None] | None = None,
     insert_only_items: bool = False,
 ) -> bool:
-    """Merge one day of a lakehouse table into the warehouse.
+    """Merge one day of a lakehouse table, or the days ``[day, end)``, into the warehouse.
 
     ``merge_rows(rows, table, keys)`` may send the rows to a database (see
     ``staged_merge``); by default they go to Parquet tables under the root. A
@@ -174,7 +176,8 @@ def warehouse_day(
     """
     if not path_exists(spark, lake.table(name)):
         return False
-    rows = partition_slice(spark.read.parquet(lake.table(name)), day)
+    table = spark.read.parquet(lake.table(name))
+    rows = partition_range(table, day, end) if end else partition_slice(table, day)
     if rows.isEmpty():
         return False
     keys = WAREHOUSE_KEYS[name]

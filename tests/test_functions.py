@@ -96,6 +96,7 @@ def test_slices(stamped):
     assert ids(slices.between_slice(stamped, "ts", "2017-01-01", "2017-01-02")) == [1, 2, 3]
     parts = slices.add_date_parts(stamped, "ts")
     assert ids(slices.partition_slice(parts, "2017-01-01")) == [1, 2]
+    assert ids(slices.partition_range(parts, "2016-12-31", "2017-01-02")) == [0, 1, 2]
     cursor = slices.add_cursor_parts(stamped, "2017-01-05")
     assert cursor.select("year", "month", "day").distinct().collect() == [(2017, 1, 5)]
     assert dict(cursor.dtypes)["year"] == "int"
