@@ -162,10 +162,14 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
+def _no_null(keys: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
 def _split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     # Null tests reach the scan, where column statistics skip row groups, so the
     # second read of a file table without null keys touches footers only.
-    return df.na.drop(subset=keys), df.filter(_any_null(keys))
+    return df.filter(_no_null(keys)), df.filter(_any_null(keys))
 
 
 def _key_counts(df: DataFrame, keys: list[str]) -> tuple[int, bool]:

@@ -349,9 +349,12 @@ def bi_tables_counts(spark, d):
     return rows
 
 
-def echo(texts: list[str]) -> list[str]:
-    """Stands in for the translation model: returns the prompts."""
-    return list(texts)
+def echo():
+    """Stands in for the translation model: a function that returns the prompts.
+
+    Built here, so that it travels to the executors by value.
+    """
+    return lambda prompts: list(prompts)
 
 
 @query(
@@ -361,7 +364,7 @@ def echo(texts: list[str]) -> list[str]:
 )
 def translate_reviews_stub(spark, d):
     docs = widen(src.table(spark, d, "documents").select("doc_id", "text", "source"))
-    return translate_columns(docs, ["text", "source"], translate=echo)
+    return translate_columns(docs, ["text", "source"], translate=echo())
 
 
 @query(
@@ -370,7 +373,7 @@ def translate_reviews_stub(spark, d):
 )
 def translated_columns_added(spark, d):
     docs = src.table(spark, d, "documents").select("doc_id", "source")
-    return translate_columns(docs, ["source"], translate=echo, prefix="translated_")
+    return translate_columns(docs, ["source"], translate=echo(), prefix="translated_")
 
 
 @query(
@@ -390,7 +393,7 @@ def translation_prompts(spark, d):
 )
 def translate_month_query(spark, d):
     path = scratch_path(spark, "translated")
-    n = translate_month(src.order_reviews(spark, d), "2017-01", path, translate=echo)
+    n = translate_month(src.order_reviews(spark, d), "2017-01", path, translate=echo())
     ddl = "order_id bigint, review_comment_title string, review_comment_message string"
     read = files.read_csv_table(spark, path, ddl)
     return read.select(

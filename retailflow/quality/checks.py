@@ -143,7 +143,8 @@ def run_checks(df: DataFrame, check: Check) -> DataFrame:
 
 def uniqueness(df: DataFrame, columns: list[str]) -> DataFrame:
     """Share of non-null rows whose value occurs exactly once."""
-    per_value = df.na.drop(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    per_value = df.filter(present).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     once = F.sum(F.when(F.col("__n") == 1, 1).otherwise(0))
     return per_value.agg((once / F.sum("__n")).cast("double").alias("uniqueness"))
 

@@ -87,18 +87,20 @@ def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
                 F.sum(number).alias(f"su{i}"),
                 F.stddev_pop(number).alias(f"sd{i}"),
             ]
-            is_number = inferred.isin(INTEGRAL, FRACTIONAL)
-            found = {
+            measures = {
                 "min": F.col(f"lo{i}"),
                 "max": F.col(f"hi{i}"),
                 "mean": F.try_divide(F.col(f"su{i}"), n),
                 "sum": F.col(f"su{i}"),
                 "std_dev": F.col(f"sd{i}"),
             }
-            measures = {m: F.when(is_number, v) for m, v in found.items()}
             if percentiles:
                 aggs.append(F.percentile_approx(number, PERCENTILES).alias(f"pc{i}"))
-                quantiles = F.when(is_number, F.col(f"pc{i}"))
+                quantiles = F.col(f"pc{i}")
+            if counted:  # text: only if all values are numbers
+                is_number = F.col(f"ti{i}") + F.col(f"tf{i}") == n
+                measures = {m: F.when(is_number, v) for m, v in measures.items()}
+                quantiles = F.when(is_number, quantiles)
         rows.append(
             F.struct(
                 F.lit(name).alias("column"),
