@@ -44,12 +44,16 @@ def partition_slice(df: DataFrame, day: str) -> DataFrame:
 
 
 def partition_range(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows of the days ``[start, end)`` of a table partitioned by year, month and day."""
+    """Rows of the days ``[start, end)`` of a table partitioned by year, month and day.
+
+    The month test prunes tables that are partitioned by year and month only.
+    """
     lo, hi = cursor_parts(start), cursor_parts(end)
-    day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-    bounds = [y * 10000 + m * 100 + d for y, m, d in (lo, hi)]
-    years = F.col("year").between(lo[0], hi[0])
-    return df.filter(years & (day >= bounds[0]) & (day < bounds[1]))
+    month = F.col("year") * 100 + F.col("month")
+    day = month * 100 + F.col("day")
+    in_months = month.between(lo[0] * 100 + lo[1], hi[0] * 100 + hi[1])
+    after, before = (y * 10000 + m * 100 + d for y, m, d in (lo, hi))
+    return df.filter(in_months & (day >= after) & (day < before))
 
 
 def add_date_parts(df: DataFrame, ts: str) -> DataFrame:

@@ -296,11 +296,15 @@ def test_transaction_rolls_back():
     assert log == ["a", "b", "commit", "close", "a", "bad", "rollback", "close"]
 
 
-def test_bi_range_and_dashboard(spark):
+def test_bi_range_and_dashboard(spark, tmp_path):
     tabs = make_tables(spark, [order("a", "2016-12-31"), order("b", D1), order("c", "2018-08-31")])
     tabs["geolocation"] = spark.createDataFrame([("são paulo",)], "geolocation_city string")
     built = bi.build_bi_tables(tabs)
     assert rows(built["orders"], "order_id") == [("b",)]
+    root = str(tmp_path)
+    for _ in range(2):
+        lakes.full_load(built, lambda name: f"{root}/{name}")
+    assert spark.read.parquet(f"{root}/orders").count() == 1
     boards = bi.dashboard(built)
     assert rows(boards["orders_by_month"]) == [("2017-01", 1)]
     assert rows(boards["order_status"]) == [("1-created", 1)]
