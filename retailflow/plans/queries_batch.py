@@ -526,6 +526,24 @@ def merge_idempotent_count(spark, d):
     )
 
 
+@query(
+    "completed_review_events",
+    f"""WITH {sql.REVIEWS} SELECT order_id, review_id, review_creation_date, CAST(NULL AS INTEGER) AS review_score,
+      CAST(NULL AS VARCHAR) AS review_comment_title FROM r""",
+)
+def completed_review_events(spark, d):
+    """Created events hold three fields; the rest of the document is completed with nulls."""
+    created = src.order_reviews(spark, d).select("order_id", "review_id", "review_creation_date")
+    document = {
+        "order_id": "bigint",
+        "review_id": "string",
+        "review_creation_date": "timestamp_ntz",
+        "review_score": "int",
+        "review_comment_title": "string",
+    }
+    return slices.complete_fields(created, document)
+
+
 # --- life cycle --------------------------------------------------------------
 STAGES = [
     (0, "purchased", "order_purchase_timestamp", "'created'"),

@@ -30,10 +30,16 @@ from retailflow.plans.queries_batch import (
 )
 from retailflow.session import scratch_path, widen
 from retailflow.sinks.landing import write_csv
-from retailflow.sinks.tables import create_table, refresh_table, replicate, write_table
+from retailflow.sinks.tables import (
+    clear_target,
+    create_table,
+    refresh_table,
+    replicate,
+    write_table,
+)
 from retailflow.sources import files
 from retailflow.sources import sample_tables as src
-from retailflow.sources.tables import read_table_or_empty, register_federated
+from retailflow.sources.tables import describe_table, read_table_or_empty, register_federated
 
 ORDERS_DDL = """order_id bigint, customer_id bigint, order_status string,
     order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz,
@@ -182,6 +188,29 @@ def describe_tables(spark, d):
     return rows
 
 
+@query(
+    "column_catalogue",
+    "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, column_name, n_present FROM (UNPIVOT (
+          SELECT count(COLUMNS(*)) AS "\\0" FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE n_present)"""
+        for t in src.TABLES
+    ),
+)
+def column_catalogue(spark, d):
+    """Described columns of every table with their number of values."""
+    rows = None
+    for name in src.TABLES:
+        view = _name(name)
+        df = src.table(spark, d, name)
+        df.createOrReplaceTempView(view)
+        columns = [r["column_name"] for r in describe_table(spark, view).collect()]
+        counts = df.agg(*[F.count(c).alias(c) for c in columns])
+        pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_present")) for c in columns]
+        one = counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*pairs)))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 # --- tables and layout -------------------------------------------------------
 @query(
     "partition_slice_orders",
@@ -210,6 +239,24 @@ def replaced_table(spark, d):
     return spark.table(name).groupBy("order_status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "cleared_table_reload",
+    "SELECT c_mktsegment AS customer_city, count(*) AS n FROM customer GROUP BY 1",
+)
+def cleared_table_reload(spark, d):
+    """A table is loaded, emptied and loaded again; a dropped one is gone."""
+    name = _name("customers")
+    customers = src.customers(spark, d)
+    create_table(customers, name, path=scratch_path(spark, name))
+    create_table(customers, name + "_old", path=scratch_path(spark, name))
+    clear_target(spark, name, "delete")
+    customers.write.mode("append").insertInto(name)
+    clear_target(spark, name + "_old", "drop")
+    old = read_table_or_empty(spark, name + "_old", "customer_city string").select("customer_city")
+    both = spark.table(name).select("customer_city").unionByName(old)
+    return both.groupBy("customer_city").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "refreshed_dimension",
     "SELECT c_custkey AS customer_id, c_name AS customer_unique_id, c_mktsegment AS customer_city FROM customer",

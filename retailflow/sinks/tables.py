@@ -112,12 +112,16 @@ def refresh_table(df: DataFrame, path: str) -> bool:
 
 
 def clear_target(spark: SparkSession, name: str, how: str) -> None:
-    """Empty (``delete``) or remove (``drop``) a table before a load."""
+    """Empty (``delete``) or remove (``drop``) a table before a load.
+
+    Emptying overwrites with no rows, which external tables allow too.
+    """
     if how == "drop":
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     elif how == "delete":
         if spark.catalog.tableExists(name):
-            spark.sql(f"TRUNCATE TABLE {name}")
+            nothing = spark.createDataFrame([], spark.table(name).schema).write.mode("overwrite")
+            nothing.option("partitionOverwriteMode", "static").insertInto(name)
     else:
         raise ValueError("how must be 'delete' or 'drop'")
 

@@ -183,6 +183,8 @@ def test_table_helpers(spark, tmp_path):
     spark.sql("INSERT INTO t3 VALUES (1)")
     clear_target(spark, "t3", "delete")
     assert spark.table("t3").count() == 0
+    clear_target(spark, "t1", "delete")
+    assert spark.table("t1").count() == 0
     for name in ("t1", "t2", "t3"):
         clear_target(spark, name, "drop")
         assert not spark.catalog.tableExists(name)
