@@ -101,6 +101,14 @@ def test_profile_infers_types_of_text(spark):
     assert len(got["n"]["percentiles"]) == 100
 
 
+def test_percentiles_are_within_one_percent(spark):
+    rows_in = spark.range(100_000, numPartitions=8).selectExpr("cast(id AS double) AS v", "cast(NULL AS int) AS nothing")
+    got = {r["column"]: r["percentiles"] for r in profile(rows_in).collect()}
+    assert all(abs(value / 1000 - p) <= 1 for p, value in enumerate(got["v"], start=1))
+    assert got["nothing"] is None
+    assert [r["percentiles"] for r in profile(rows_in.limit(0)).collect()] == [None, None]
+
+
 def test_histogram_of_low_cardinality_columns(spark):
     df = spark.range(1000).selectExpr("id", "id % 2 = 0 AS even", "if(id < 10, NULL, 'x') AS s")
     _, histogram = profile_with_histogram(df)
