@@ -36,27 +36,37 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(modulus)), F.lit(0)).cast("int")
 
 
+def texts_of(docs: DataFrame, chosen: list[tuple], kind: str, text: str = "text") -> list[tuple]:
+    """``(text, y)`` of the chosen ``(id, y)``, in the order of the id's hash.
+
+    One scan; only the chosen texts leave it. A repeated id gives its smallest text.
+    """
+    if not chosen:
+        return []
+    spark = docs.sparkSession
+    ids = spark.createDataFrame(chosen, f"i long, y {kind}")
+    texts = docs.select(F.col("doc_id").alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
+    found = texts.join(F.broadcast(ids), "i").select(F.xxhash64("i").alias("h"), "i", "t", "y").collect()
+    first: dict = {}
+    for r in sorted(found, key=lambda r: (r["h"], r["i"], str(r["y"]), r["t"])):
+        first.setdefault((r["i"], r["y"]), (r["t"], r["y"]))
+    return list(first.values())
+
+
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, text: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: tuple[int, int]
 ) -> list[tuple[str, int]]:
-    """At most ``per_class`` training texts of each class, chosen by the hash of their id.
+    """At most ``per_class[y]`` training texts ``(text, y)`` of each class, by the hash of their id.
 
-    The ids are chosen first, from the narrow label table, so that texts of other
-    documents never leave the scan. Bounded by ``2 * per_class`` texts. Ordered
-    by id hash and text, thus the same on every run.
+    The ids are chosen from the narrow label table, so the driver holds at most
+    ``sum(per_class)`` texts, the same on every run. Labels that are null and
+    documents without label, id or text are not sampled.
     """
-    spark = docs.sparkSession
     wanted = labels.select(F.col("doc_id").alias("i"), F.col(label).cast("int").alias("y")).filter(
         F.col("i").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("i"), modulus) != held_out)
     )
     picked = []
     for y in (0, 1):
-        rows = wanted.filter(F.col("y") == y).select("i").distinct()
-        picked += [(r["i"], y) for r in rows.orderBy(F.xxhash64("i"), "i").limit(per_class).collect()]
-    if not picked:
-        return []
-    chosen = spark.createDataFrame(picked, "i long, y int")
-    texts = docs.select(F.col("doc_id").alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
-    found = texts.join(F.broadcast(chosen), "i").select(F.xxhash64("i").alias("h"), "i", "t", "y")
-    rows = found.dropDuplicates(["i", "y"]).collect()
-    return [(r["t"], r["y"]) for r in sorted(rows, key=lambda r: (r["h"], r["i"], r["y"]))]
+        rows = wanted.filter(F.col("y") == y).select("i").distinct().orderBy(F.xxhash64("i"), "i")
+        picked += [(r["i"], y) for r in rows.limit(per_class[y]).collect()]
+    return texts_of(docs, picked, "int")

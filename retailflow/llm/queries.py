@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retailflow.llm import embed_dedup, topk
-from retailflow.llm.common import read
+from retailflow.llm import bpe, embed_dedup, langid, packing, simhash, topk
+from retailflow.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,9 +24,48 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def _with_fold(scored: DataFrame, modulus: int, held_out: int, *columns: str) -> DataFrame:
+    return scored.select("doc_id", (fold(F.col("doc_id"), modulus) == held_out).alias("held_out"), *columns)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside fold 2 of 4."""
+    docs = read(spark, sf_dir, "documents")
+    scored = langid.identify(docs, langid.train(docs, modulus=4, held_out=2))
+    return _with_fold(scored, 4, 2, "lang_pred", "score")
+
+
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the byte-level BPE ids of every document and of their decoded text."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode_documents(read(spark, sf_dir, "documents"), path)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces in sequences of at most 2048 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(read(spark, sf_dir, "documents"), path)
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups of all documents at two differing bits."""
+    groups = simhash.simhash_groups(read(spark, sf_dir, "documents"), words=3, max_bits=2)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
+    "op5_language_id": op5_language_id,
+    "op6_bpe_encode_decode": op6_bpe_encode_decode,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
