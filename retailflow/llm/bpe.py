@@ -27,7 +27,7 @@ from retailflow.llm.common import small_batches
 CHUNK_CHARS = 1 << 16
 #: Longest run of one character class that is encoded in one go, in bytes.
 RUN_BYTES = 512
-CACHED_UNITS = 300_000
+CACHED_UNITS = 400_000
 
 # White space of the pre-tokenizer, its pattern, its character classes.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

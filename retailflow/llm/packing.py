@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from retailflow.llm.common import materialise, small_batches
 
 CAPACITY = 2048
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 #: Pieces that one task numbers within a length.
 NUMBERED_ROWS = 200_000
 
