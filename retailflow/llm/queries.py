@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, embed_dedup, langid, packing, simhash, topk
+from retailflow.llm import bpe, embed_dedup, langid, packing, quality, simhash, topk, toxicity
 from retailflow.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,13 @@ def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned outside fold 1 of 3."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), modulus=3, held_out=1)
+    return _with_fold(toxicity.score_documents(docs, model), 3, 1, "score", "predicted")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces in sequences of at most 2048 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -59,13 +66,22 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned outside fold 0 of 5."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), modulus=5, held_out=0)
+    return _with_fold(quality.score_documents(docs, model), 5, 0, "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
     "op5_language_id": op5_language_id,
     "op6_bpe_encode_decode": op6_bpe_encode_decode,
+    "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
