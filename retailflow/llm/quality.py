@@ -91,6 +91,7 @@ class WordVectors:
             for word, neighbour in ((ids[gap:], ids[:-gap]), (ids[:-gap], ids[gap:])):
                 for d in range(DIMENSION):
                     total[:, d] += np.bincount(word, weights=index[:, d][neighbour], minlength=len(total))
+        total[0] = 0
         # What all words share says nothing; the own index vector keeps words apart.
         total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
         total -= total.mean(axis=0)
