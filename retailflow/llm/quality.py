@@ -131,7 +131,7 @@ class QualityModel:
         if len(set(y)) < 2:
             return
         x = np.stack([self.vectors.pool(t) for t, _ in sample])
-        self.center, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-6
+        self.center, self.spread = x.mean(axis=0), np.maximum(x.std(axis=0), 0.02)
         x = (x - self.center) / self.spread
         # Every fifth row fits the temperature; small samples use all rows for both.
         unseen = np.arange(len(x)) % 5 == 0 if len(x) >= 50 else np.ones(len(x), dtype=bool)

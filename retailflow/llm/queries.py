@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, embed_dedup, langid, packing, quality, simhash, topk, toxicity
+from retailflow.llm import bpe, chat, embed_dedup, html_extract, langid, packing, quality, simhash, topk, toxicity
 from retailflow.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,17 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the view of each of its participants."""
+    return chat.rotate(read(spark, sf_dir, "conversations"))
+
+
 def _with_fold(scored: DataFrame, modulus: int, held_out: int, *columns: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), modulus) == held_out).alias("held_out"), *columns)
 
@@ -76,6 +87,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_language_id": op5_language_id,
     "op6_bpe_encode_decode": op6_bpe_encode_decode,
     "op7_toxicity": op7_toxicity,
@@ -102,4 +115,24 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+    "op4_chat_formatting": r"""
+WITH m AS (
+  SELECT DISTINCT conv_id, coalesce(CAST(floor(turn / 1024.0) AS BIGINT), -1) AS part, turn, nullif(trim(role), '') AS role,
+    replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT DISTINCT conv_id, part, role AS speaker FROM m WHERE role IS NOT NULL AND role <> 'system'),
+r AS (
+  SELECT p.speaker, m.*, role IS NOT DISTINCT FROM speaker AS own,
+    CASE WHEN role = speaker THEN '<|start|>assistant' || chr(10) WHEN role = 'system' THEN '<|start|>system' || chr(10)
+      ELSE '<|start|>user name=' || replace(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(10), ' ') || chr(10) END AS head,
+    body || '<|end|>' AS said
+  FROM m JOIN p USING (conv_id, part)),
+o AS (
+  SELECT *, row_number() OVER w AS n, sum(length(head) + length(said) + 1) OVER w - length(said) - 1 AS pos
+  FROM r WINDOW w AS (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, body
+    ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, part, speaker, string_agg(head || said || chr(10), '' ORDER BY n) AS rendered,
+  string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(pos + length(said) AS BIGINT) AS VARCHAR), ',' ORDER BY n) FILTER (own) AS mask,
+  count(*) AS n_messages, CAST(sum(length(said)) FILTER (own) AS BIGINT) AS n_masked_chars
+FROM o GROUP BY conv_id, part, speaker""",
 }
