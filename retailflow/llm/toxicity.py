@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from retailflow.llm.common import labelled_sample, small_batches
 
 #: Bounds of the training sample: clean and toxic texts.
-SAMPLE = (3000, 1500)
+SAMPLE = (2000, 1000)
 THRESHOLD = 0.7
 SCOPE = 4
+#: Longest stem that is learned.
+STEM = 10
 
 # Fixed word lists of the grammar, in English, German, French and Spanish.
 TARGETS = "you your yours yourself u du dich dir dein deine euch ihr tu toi te ton vous votre tú ti usted ustedes vosotros".split()
@@ -217,34 +219,42 @@ def learn_insults(sample: list[tuple[str, int]], doubt: float = 1e-9) -> tuple[l
     neighbours that it stands between, so copies of a text count once. It is taken if it is
     found in three texts, in toxic ones so often that chance would do it with
     probability below ``doubt``, and hardly ever in clean ones. A stem must head three
-    different words and go with no shorter family of the same size.
+    different words, none of them most of its uses, and go with no shorter family of the
+    same size.
     """
-    texts = [([w for w in _TOKEN.findall(t.lower()) if w[0].isalpha()], y) for t, y in dict(sample).items()]
-    n_toxic = sum(len(w) for w, y in texts if y)
-    n_all = sum(len(w) for w, _ in texts)
-    if not n_toxic or n_toxic == n_all:
-        return [], []
+    texts = dict(sample).items()
+
+    def words_of(text: str) -> list[str]:
+        return [w for w in _TOKEN.findall(text.lower()) if w[0].isalpha()]
 
     def keys(word: str) -> list[str]:
-        return [word + "$"] + [word[:n] for n in range(4, min(len(word), 12) + 1)]
+        return [word + "$"] + [word[:n] for n in range(4, min(len(word), STEM) + 1)]
 
-    first: Counter = Counter()
-    for own, y in texts:
+    # Texts are cut into words again in each pass, so that only counts are held.
+    sizes, first, other = [0, 0], Counter(), Counter()
+    for text, y in texts:
+        own = words_of(text)
+        sizes[y] += len(own)
         if y:
             first.update({k for w in set(own) for k in keys(w)})
-    often = {k for k, n in first.items() if n >= 3}
+    n_toxic, n_all = sizes[1], sum(sizes)
+    if not n_toxic or n_toxic == n_all:
+        return [], []
+    first = Counter({k: n for k, n in first.items() if n >= 3})
+    for text, y in texts:
+        if not y:
+            other.update({k for w in set(words_of(text)) for k in keys(w) if k in first})
+    often = {k for k, n in first.items() if other[k] <= 0.05 * n}
     found: dict[str, tuple[set, set]] = {k: (set(), set()) for k in often}
-    heads: dict[str, set] = {k: set() for k in often}
-    kept: dict[str, list[str]] = {}
-    for own, y in texts:
+    heads: dict[str, Counter] = {k: Counter() for k in often}
+    for text, y in texts:
+        own = words_of(text)
         for before, word, after in zip(["", *own], own, [*own[1:], ""]):
-            mine = kept.get(word)
-            if mine is None:
-                mine = kept[word] = [k for k in keys(word) if k in often]
-            for k in mine:
-                found[k][y].add(hash((before, after)))
-                if y:
-                    heads[k].add(word)
+            for k in keys(word):
+                if k in often:
+                    found[k][y].add(hash((before, after)))
+                    if y:
+                        heads[k][word] += 1
     odds = n_toxic / n_all
     toxic = {k: len(t) for k, (_, t) in found.items()}
 
@@ -258,9 +268,14 @@ def learn_insults(sample: list[tuple[str, int]], doubt: float = 1e-9) -> tuple[l
         gap = share * math.log(share / odds) + (1 - share) * math.log((1 - share) / (1 - odds))
         return share > odds and -n * gap < math.log(doubt)
 
+    def several(key: str) -> bool:
+        """Three words at least, none of which makes the stem what it is."""
+        uses = heads[key].values()
+        return len(uses) >= 3 and max(uses) <= 0.5 * sum(uses)
+
     words = sorted(k[:-1] for k in often if k.endswith("$") and sure(k))
     families: dict[frozenset, str] = {}
-    for k in sorted((k for k in often if not k.endswith("$") and len(heads[k]) >= 3 and sure(k)), key=len):
+    for k in sorted((k for k in often if not k.endswith("$") and several(k) and sure(k)), key=len):
         families[frozenset(heads[k])] = k
     stems = [k for k in families.values() if not any(o != k and k.startswith(o) for o in families.values())]
     grown = [max((o for o in families.values() if o.startswith(k) and toxic[o] >= 0.95 * toxic[k]), key=len) for k in stems]
