@@ -9,7 +9,8 @@ from retailflow.operators.slices import day_slice, month_slice
 from retailflow.session import broadcast_if_small
 
 PURCHASED = "order_purchase_timestamp"
-HOT_ROWS = 1_000_000
+#: Child rows of one order beyond which a left join splits the order over tasks.
+HOT_ROWS = 100_000
 
 
 def with_parent_time(
@@ -71,44 +72,41 @@ def orders_without(orders: DataFrame, child: DataFrame) -> DataFrame:
     return orders.join(child.select("order_id").distinct(), "order_id", "left_anti")
 
 
-def order_fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+def order_fan_out(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Orders left-joined with items and payments: one row per combination."""
-    return left_join_spread(left_join_spread(orders, items), payments)
+    return left_join_spread(left_join_spread(orders, items, hot_rows), payments, hot_rows)
 
 
 def left_join_spread(parent: DataFrame, child: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``parent LEFT JOIN child`` on ``order_id`` that survives huge orders.
 
-    A left join cannot split the child rows of one id over tasks. So the ids with
-    more than ``hot_rows`` child rows are found first, with partial counts on the
-    id column alone; there are few of them by the bound itself. Their parents are
-    joined from the child side, where the rows stay where they are. Every hot id
-    has children, so an inner join loses none of its parents.
+    A left join cannot split the child rows of one id over tasks, an inner join can. So
+    the ids with more than ``hot_rows`` child rows are found first, with partial counts on
+    the id column alone, and joined apart. Every hot id has children, so an inner join
+    loses none of its parents. ``hot_rows`` decides where the work is done, never what
+    rows come out; zero joins every id apart.
     """
-    plain = parent.join(child, "order_id", "left")
-    if child.count() <= hot_rows:  # from file footers, for a table of files
-        return plain
     counts = child.groupBy("order_id").agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter((F.col("__n") > hot_rows) & F.col("order_id").isNotNull())
+    hot = counts.filter((F.col("__n") > hot_rows) & F.col("order_id").isNotNull()).select("order_id")
     if hot.isEmpty():
-        return plain
-    hot = broadcast_if_small(hot.select("order_id"))
+        return parent.join(child, "order_id", "left")
     rest = [c for c in child.columns if c != "order_id"]
     cold = parent.join(hot, "order_id", "left_anti").join(
         child.join(hot, "order_id", "left_anti"), "order_id", "left"
     )
-    parents = broadcast_if_small(parent.join(hot, "order_id", "left_semi"))
-    large = child.join(hot, "order_id", "left_semi").join(parents, "order_id")
+    large = child.join(hot, "order_id", "left_semi").join(parent, "order_id")
     columns = [*parent.columns, *rest]
     return cold.select(columns).unionByName(large.select(columns))
 
 
 def left_from_few(parent: DataFrame, child: DataFrame) -> DataFrame:
-    """``parent LEFT JOIN child`` on ``order_id`` for few parents; child columns get ``__``.
+    """``parent LEFT JOIN child`` on ``order_id``; child columns get ``__``.
 
     Done as an inner join plus the childless parents: that way a broadcast of the
-    parents leaves the child table unshuffled, which a left join would not.
-    Parents of a null id have no children.
+    parents leaves the child table unshuffled, which a left join would not, and a huge
+    order is split. Parents of a null id have no children.
     """
     renamed = child.withColumnsRenamed({c: f"__{c}" for c in child.columns})
     matched = parent.join(renamed, F.col("order_id") == F.col("__order_id"))

@@ -2,8 +2,8 @@
 
 ``merge`` returns the new content of the target. Key comparison is plain SQL
 equality, so a null key matches nothing: such target rows stay and such source
-rows are inserted. Rows with null keys never enter a join, and thus cannot pile
-up in one task.
+rows are inserted. Rows with null keys stay out of joins, or are dealt out by their
+position, and thus cannot pile up in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from retailflow.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 
-SALTS = 16
+#: Tasks over which rows with null keys are dealt in a full join.
+NULL_SHARES = 4096
 
 
 class MergeConflict(ValueError):
@@ -39,7 +40,13 @@ def merge(
     unmatched duplicates are all inserted.
 
     A count of the source per key runs first. It picks the plan: a source within
-    the broadcast bounds leaves the target unshuffled.
+    the broadcast bounds leaves the target unshuffled. A larger source without repeated
+    keys is joined once, with one scan and one shuffle of each side. That join cannot
+    split the rows of one key, which a keyed target has not; repeated source keys
+    take two joins, whose large partitions adaptive execution splits.
+
+    The source is read several times and must give the same rows each time: persist
+    or store it if it may not.
     """
     changed = _update_columns(target, keys, update)
     source = source.select(*target.columns)
@@ -50,6 +57,8 @@ def merge(
     if repeated and changed and check_cardinality:
         _refuse_conflicts(keyed_target, keyed_source, keys)
     small = rows <= BROADCAST_ROWS and fits_broadcast(keyed_source)
+    if not small and not repeated:
+        return _merge_once(target, source, keys, changed, insert)
 
     parts = []
     if changed:
@@ -72,7 +81,7 @@ def merge(
     else:
         parts.append(target)
     if insert:
-        parts.append(_unmatched(keyed_source, keyed_target, keys, small, repeated))
+        parts.append(_unmatched(keyed_source, keyed_target, keys, small))
         parts.append(loose_source)
     return reduce(DataFrame.unionByName, parts)
 
@@ -90,7 +99,7 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str], order_by:
     firsts = keyed.groupBy(*keys).agg(F.min(lead).alias("__row"))
     firsts = firsts.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in target.columns])
     small = fits_broadcast(keyed.select(*keys))
-    fresh = _unmatched(firsts, _split_null_keys(target, keys)[0], keys, small, False)
+    fresh = _unmatched(firsts, _split_null_keys(target, keys)[0], keys, small)
     return target.unionByName(fresh).unionByName(loose)
 
 
@@ -194,19 +203,35 @@ def _one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "__row.*")
 
 
-def _unmatched(
-    source: DataFrame, target: DataFrame, keys: list[str], small: bool, repeated: bool
-) -> DataFrame:
+def _merge_once(target: DataFrame, source: DataFrame, keys: list[str], changed: list[str], insert: bool) -> DataFrame:
+    """Merge by one join; source keys are unique.
+
+    Rows with a null key match nothing; they get a share number as a further key, which
+    deals them over the tasks.
+    """
+
+    def dealt(df: DataFrame, first: int, side: str) -> DataFrame:
+        # Target rows get even shares, source rows odd ones, so that they never meet.
+        share = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SHARES)) * 2 + first
+        return df.withColumns({"__share": F.when(_any_null(keys), share).otherwise(0), side: F.lit(True)})
+
+    left = dealt(target, 2, "__old")
+    right = dealt(source, 1, "__hit").withColumnsRenamed({c: f"__new_{c}" for c in [*source.columns, "__share"]})
+    same = [F.col(k) == F.col(f"__new_{k}") for k in [*keys, "__share"]]
+    joined = left.join(right, reduce(Column.__and__, same), "full_outer" if insert else "left_outer")
+
+    def value(c: str) -> Column:
+        taken = F.col("__old").isNull() | F.col("__hit") if c in changed else F.col("__old").isNull()
+        return F.when(taken, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
+
+    return joined.select(*[value(c) for c in target.columns])
+
+
+def _unmatched(source: DataFrame, target: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Source rows whose key the target lacks; a repeated key is split at runtime."""
     known = target.select(*keys)
     if small:
         # Only the target keys that occur in the small source leave their partition.
-        known = known.join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    known = known.distinct()
-    if not repeated:
-        return source.join(known, keys, "left_anti")
-    # Repeated source keys: spread each key over SALTS tasks.
-    salted = source.withColumn("__salt", F.pmod(F.xxhash64(*source.columns), F.lit(SALTS)))
-    copies = known.withColumn(
-        "__salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)]))
-    )
-    return salted.join(copies, [*keys, "__salt"], "left_anti").select(*source.columns)
+        known = known.join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
+    # Otherwise both sides come straight from a shuffle, which lets large partitions be split.
+    return source.join(known, keys, "left_anti")

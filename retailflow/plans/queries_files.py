@@ -28,7 +28,7 @@ from retailflow.plans.queries_batch import (
     items_batch,
     money,
 )
-from retailflow.session import scratch_path, widen
+from retailflow.session import scratch_name, scratch_path, widen
 from retailflow.sinks.landing import write_csv
 from retailflow.sinks.tables import (
     clear_target,
@@ -47,10 +47,6 @@ ORDERS_DDL = """order_id bigint, customer_id bigint, order_status string,
     order_estimated_delivery_date timestamp_ntz"""
 
 
-def _name(stem: str) -> str:
-    return f"{stem}_{uuid.uuid4().hex[:12]}"
-
-
 # --- sources -----------------------------------------------------------------
 @query("landing_csv_scan", f"WITH {sql.ORDERS} SELECT {sql.ORDER_COLUMNS} FROM o")
 def landing_csv_scan(spark, d):
@@ -163,7 +159,7 @@ def federated_join(spark, d):
     f"WITH {sql.ORDERS} SELECT order_status, count(*) AS n FROM o GROUP BY 1",
 )
 def table_or_empty(spark, d):
-    name = _name("orders_view")
+    name = scratch_name(spark, "orders_view")
     src.orders(spark, d).createOrReplaceTempView(name)
     present = read_table_or_empty(spark, name, ORDERS_DDL)
     missing = read_table_or_empty(spark, name + "_missing", ORDERS_DDL)
@@ -200,7 +196,7 @@ def column_catalogue(spark, d):
     """Described columns of every table with their number of values."""
     rows = None
     for name in src.TABLES:
-        view = _name(name)
+        view = scratch_name(spark, name)
         df = src.table(spark, d, name)
         df.createOrReplaceTempView(view)
         columns = [r["column_name"] for r in describe_table(spark, view).collect()]
@@ -219,10 +215,10 @@ def column_catalogue(spark, d):
     FROM o WHERE CAST(order_purchase_timestamp AS DATE) = DATE '{DAY}'""",
 )
 def partition_slice_orders(spark, d):
-    name = _name("orders_by_day")
+    name = scratch_name(spark, "orders_by_day")
     orders = add_date_parts(src.orders(spark, d), PURCHASED)
     path = scratch_path(spark, "orders_by_day")
-    create_table(orders, name, DATE_PARTS, path=path, rows=orders.count())
+    create_table(orders, name, DATE_PARTS, path=path)
     return partition_slice(spark.table(name), DAY)
 
 
@@ -231,7 +227,7 @@ def partition_slice_orders(spark, d):
     f"WITH {sql.ORDERS} SELECT order_status, count(*) AS n FROM o GROUP BY 1",
 )
 def replaced_table(spark, d):
-    name, path = _name("orders_replaced"), scratch_path(spark, "orders_replaced")
+    name, path = scratch_name(spark, "orders_replaced"), scratch_path(spark, "orders_replaced")
     orders = src.orders(spark, d)
     create_table(orders.withColumn("order_status", F.lit("stale")), name, path=path)
     create_table(orders.select("order_id"), name, if_absent=True)
@@ -245,7 +241,7 @@ def replaced_table(spark, d):
 )
 def cleared_table_reload(spark, d):
     """A table is loaded, emptied and loaded again; a dropped one is gone."""
-    name = _name("customers")
+    name = scratch_name(spark, "customers")
     customers = src.customers(spark, d)
     create_table(customers, name, path=scratch_path(spark, name))
     create_table(customers, name + "_old", path=scratch_path(spark, name))
@@ -300,7 +296,7 @@ def full_load_copy_counts(spark, d):
 def bucketed_join_counts(spark, d):
     parts = []
     for df in (src.orders(spark, d), src.order_items(spark, d)):
-        parts.append(bucketed(df, _name("bucketed"), "order_id", 8, scratch_path(spark, "bucketed")))
+        parts.append(bucketed(df, scratch_name(spark, "bucketed"), "order_id", 8, scratch_path(spark, "bucketed")))
     joined = parts[0].join(parts[1], "order_id")
     return joined.groupBy("order_status").agg(F.count(F.lit(1)).alias("n_items"), money("price").alias("price"))
 

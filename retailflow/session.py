@@ -13,6 +13,8 @@ BROADCAST_ROWS = 250_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
+_names: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -36,8 +38,34 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch root; see ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_name(spark: SparkSession, stem: str) -> str:
+    """An unused name for a table or view; see ``clear_scratch``."""
+    name = f"{stem}_{uuid.uuid4().hex[:12]}"
+    _names.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Drop what this application put under scratch names and paths; returns how much.
+
+    For the end of an application: frames that read from scratch fail afterwards.
+    """
+    app = spark.sparkContext.applicationId
+    names, paths = _names.pop(app, []), _scratch.pop(app, [])
+    for name in names:
+        spark.catalog.dropTempView(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(names) + len(paths)
 
 
 def row_bytes(df: DataFrame):
@@ -54,9 +82,8 @@ def row_bytes(df: DataFrame):
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` (at most ``max_rows + 1`` rows of it) against the bounds."""
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b"))
-    row = seen.first()
+    """Measure ``df`` against the bounds; one row of sums per task moves."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 

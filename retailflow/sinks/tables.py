@@ -3,41 +3,42 @@
 from __future__ import annotations
 
 import fnmatch
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailflow.operators.merge import merge, merge_sql
+from retailflow.session import broadcast_if_small
+from retailflow.sinks.folders import Folders, fresh, replace_folder, replace_partitions
 
-PARTITIONS_LISTED = 4000
-SMALL_WRITE_ROWS = 5_000_000
+# Conditions under which a path holds no table: it is missing, or holds no file.
+NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
+    """True when ``path`` holds a Parquet table; other problems are raised."""
     try:
         return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in NO_TABLE:
+            return False
+        raise
 
 
-def spread(df: DataFrame, partition_by: list[str], rows: int | None = None) -> DataFrame:
+def spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Shuffle rows towards their table partition before a write.
 
-    A rebalance, so adaptive execution splits a partition that holds a large
-    share of the rows, and file sizes stay even. Adaptive execution would join a
-    small frame into one task, which then writes all files alone; a frame known
-    to have at most ``SMALL_WRITE_ROWS`` rows is spread over all cores instead.
+    A rebalance at every size: adaptive execution splits a partition that exceeds
+    its advisory size and joins small ones, so tasks and files follow the bytes.
     """
-    if not partition_by:
-        return df
-    columns = [F.col(c) for c in partition_by]
-    if rows is not None and rows <= SMALL_WRITE_ROWS:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
-    return df.hint("rebalance", *columns)
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
 def create_table(
@@ -48,12 +49,8 @@ def create_table(
     if_absent: bool = True,
     replace: bool = False,
     fmt: str = "parquet",
-    rows: int | None = None,
 ) -> bool:
-    """Create a catalog table from a frame; True when it was written.
-
-    ``rows`` is the size of the frame, if known (see ``spread``).
-    """
+    """Create a catalog table from a frame; True when it was written."""
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     if exists and not replace:
@@ -61,7 +58,7 @@ def create_table(
             return False
         raise ValueError(f"table {name} exists")
     partition_by = partition_by or []
-    writer = spread(df, partition_by, rows).write.format(fmt).option("compression", "snappy")
+    writer = spread(df, partition_by).write.format(fmt).option("compression", "snappy")
     writer = writer.mode("overwrite" if replace else "error")
     if path:
         writer = writer.option("path", path)
@@ -101,13 +98,19 @@ def create_table_ddl(
 
 
 def refresh_table(df: DataFrame, path: str) -> bool:
-    """Overwrite a dimension with the full source; an empty source changes nothing.
+    """Replace a dimension by the full source; an empty source changes nothing.
 
-    ``df`` must not read ``path`` itself.
+    The new table is written beside the old one and takes its place when it is whole.
     """
+    spark = df.sparkSession
     if df.isEmpty():
         return False
-    write_table(df, path, mode="overwrite")
+    staged = f"{path}_staged-{uuid.uuid4().hex}"
+    try:
+        write_table(df, staged)
+        replace_folder(spark, staged, path)
+    finally:
+        Folders(spark, path).delete(staged)
     return True
 
 
@@ -132,38 +135,64 @@ def merge_into_path(
     keys: list[str],
     update: str | list[str] | None,
     partition_by: list[str],
+    keys_stay: bool = False,
 ) -> int:
     """Merge into a partitioned Parquet table, rewriting only touched partitions.
 
-    Returns the number of source rows.
+    Returns the number of source rows. Touched are the partitions that the source
+    names and those that hold its keys now, found from the key columns of the table:
+    a row whose partition columns change moves, and its old partition is rewritten
+    or goes. ``keys_stay`` is the caller's promise that no key ever moves; then only the
+    partitions that the source names are read. Partition columns may be null.
+
+    The new partitions are staged as a whole before any old file is replaced, so a
+    failed merge leaves the table as it was. The swap itself is one rename per
+    partition; table formats with MERGE (see ``merge_into_table``) make it one step.
 
-    Valid where the partition of a row never changes: every row with the same
-    key then lies in the partitions that the source names, and the rest of the
-    table is neither read nor written. The swap of several partitions is not
-    atomic; table formats with MERGE (see ``merge_into_table``) give that.
+    ``source`` is read more than once and must give the same rows each time.
     """
     spark = source.sparkSession
-    n_source = rows = source.count()
-    if path_exists(spark, path):
-        target = _touched(spark.read.parquet(path), source, partition_by)
-        merged = merge(target, source, keys, update)
-        rows += target.count()  # from file footers
-    else:
-        merged = source
-    writer = spread(merged, partition_by, rows).write.option("compression", "snappy")
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition_by
-    ).parquet(path)
-    return n_source
+    rows = source.count()
+    if not path_exists(spark, path):
+        staged = f"{path}_staged-{uuid.uuid4().hex}"
+        write_table(source, staged, partition_by)
+        replace_folder(spark, staged, path)
+        return rows
+    table = spark.read.parquet(path)
+    kinds = {f.name: f.dataType for f in source.schema.fields}
+    table = table.withColumns({c: F.col(c).cast(kinds[c]) for c in partition_by})
+    touched = source.select(*partition_by).distinct()
+    if not keys_stay:
+        known = table.select(*dict.fromkeys([*keys, *partition_by]))
+        wanted = source.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+        same = reduce(Column.__and__, [F.col(k) == F.col(f"__{k}") for k in keys])
+        held = known.join(broadcast_if_small(wanted), same, "left_semi").select(*partition_by)
+        touched = touched.unionByName(held).distinct()
+    # One row per partition: no more than the folders that the file index lists anyway.
+    listed = touched.collect()
+    target = _touched(table, listed, source.select(*partition_by).schema)
+    old = target.select(F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("f"))
+    folders = sorted(_below(unquote(r["f"]), path) for r in old.distinct().collect())
+    staged = fresh(path, "staged")
+    try:
+        merged = merge(target.select(*source.columns), source, keys, update)
+        write_table(merged, staged, partition_by)
+        replace_partitions(spark, staged, path, folders)
+    finally:
+        Folders(spark, path).delete(staged)
+    return rows
 
 
 def merge_into_table(
     source: DataFrame, name: str, keys: list[str], update: str | list[str] | None = "*"
 ) -> None:
     """MERGE INTO a catalog table whose format supports it."""
-    view = f"{name.split('.')[-1]}_source"
+    view = f"{name.split('.')[-1]}_source_{uuid.uuid4().hex}"
     source.createOrReplaceTempView(view)
-    source.sparkSession.sql(merge_sql(name, view, source.columns, keys, update, quote="`"))
+    try:
+        source.sparkSession.sql(merge_sql(name, view, source.columns, keys, update, quote="`"))
+    finally:
+        source.sparkSession.catalog.dropTempView(view)
 
 
 def replicate(
@@ -195,13 +224,28 @@ def replicate(
         return dict(zip(wanted, pool.map(copy, wanted)))
 
 
-def _touched(table: DataFrame, source: DataFrame, partition_by: list[str]) -> DataFrame:
-    touched = source.select(*partition_by).distinct()
-    listed = touched.limit(PARTITIONS_LISTED + 1).collect()
-    if len(listed) > PARTITIONS_LISTED:
-        return table.join(touched, partition_by, "left_semi")
-    # A list of literals prunes partitions at planning time.
-    days = [F.struct(*[F.lit(v) for v in row]) for row in listed]
-    years = [row[0] for row in listed]
-    pruned = table.filter(F.col(partition_by[0]).isin(years)) if len(partition_by) > 1 else table
-    return pruned.filter(F.struct(*partition_by).isin(days) if len(days) else F.lit(False))
+def _touched(table: DataFrame, listed: list, schema: T.StructType) -> DataFrame:
+    """Rows of the listed partitions, null partitions included.
+
+    Bounds of each partition column stand as literals, which prune folders at planning
+    time; the join with the list is exact, at any number of partitions.
+    """
+    spark = table.sparkSession
+    for column in schema.names:
+        values = [r[column] for r in listed if r[column] is not None]
+        inside = F.lit(False)
+        if values:
+            inside = F.col(column).between(F.lit(min(values)), F.lit(max(values)))
+        if len(values) < len(listed):
+            inside = inside | F.col(column).isNull()
+        table = table.filter(inside)
+    named = T.StructType([T.StructField(f"__{f.name}", f.dataType) for f in schema.fields])
+    parts = F.broadcast(spark.createDataFrame(listed, named))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in schema.names])
+    return table.join(parts, same, "left_semi")
+
+
+def _below(folder: str, path: str) -> str:
+    """The partition part of a folder of the table at ``path``."""
+    name = path.rstrip("/").split("://")[-1].removeprefix("file:")
+    return folder[folder.index(name) + len(name) :].strip("/")

@@ -118,8 +118,9 @@ def test_fan_out_equals_left_joins(spark):
     want = orders.join(items, "order_id", "left").join(payments, "order_id", "left")
     got = joins.order_fan_out(orders, items, payments)
     assert got.columns == want.columns and rows(got) == rows(want)
-    split = joins.left_join_spread(joins.left_join_spread(orders, items, hot_rows=100), payments, hot_rows=1)
-    assert split.columns == want.columns and rows(split) == rows(want)
+    for hot_rows in (0, 1, 100):
+        split = joins.order_fan_out(orders, items, payments, hot_rows)
+        assert split.columns == want.columns and rows(split) == rows(want)
 
 
 def test_parent_time(spark):

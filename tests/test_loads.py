@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retailflow import session
 from retailflow.model import FACTS, ORDER_REVIEWS_DDL, ORDERS_DDL
 from retailflow.operators.layout import bucketed
+from retailflow.operators import merge as merge_module
 from retailflow.operators.merge import MergeConflict
 from retailflow.plans import bi, lake as lakes
 from retailflow.quality.checks import CheckFailed
@@ -18,6 +19,7 @@ from retailflow.sinks.tables import (
     create_table,
     create_table_ddl,
     merge_into_path,
+    path_exists,
     refresh_table,
     replicate,
 )
@@ -167,10 +169,109 @@ def test_merge_touches_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path), "k") == [(1,), (2,), (3,)]
 
 
+PARTS = "k string, v string, year int, day int"
+
+
+def table_rows(spark, path):
+    return rows(spark.read.parquet(path), "k", "v", "year", "day")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_merge_moves_rows_between_partitions(spark, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(session, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(merge_module, "BROADCAST_ROWS", -1)
+    path = str(tmp_path / "t")
+    start = [("a", "old", 1, 1), ("b", "old", 1, 1), ("c", "old", 1, 2), ("d", "old", None, 3), ("e", "old", 2, 5)]
+    merge_into_path(spark.createDataFrame(start, PARTS), path, ["k"], "*", ["year", "day"])
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "year=2" / "day=5").iterdir()}
+    # a moves to a new partition, c leaves its partition empty, d leaves the null partition, z enters it.
+    batch = [("a", "new", 1, 9), ("c", "new", 1, 1), ("d", "new", 1, 3), ("z", "new", None, 3)]
+    merge_into_path(spark.createDataFrame(batch, PARTS), path, ["k"], "*", ["year", "day"])
+    want = [("a", "new", 1, 9), ("b", "old", 1, 1), ("c", "new", 1, 1), ("d", "new", 1, 3), ("e", "old", 2, 5), ("z", "new", None, 3)]
+    assert table_rows(spark, path) == want
+    assert not (tmp_path / "t" / "year=1" / "day=2").exists()
+    assert kept == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "year=2" / "day=5").iterdir()}
+    # Only the value is updated: rows stay where they are.
+    back = [("a", "third", 1, 1), ("z", "third", 7, 7)]
+    merge_into_path(spark.createDataFrame(back, PARTS), path, ["k"], ["v"], ["year", "day"])
+    assert table_rows(spark, path)[0] == ("a", "third", 1, 9) and table_rows(spark, path)[-1] == ("z", "third", None, 3)
+    merge_into_path(spark.createDataFrame([("y", "x", None, 3)], PARTS), path, ["k"], "*", ["year", "day"], keys_stay=True)
+    assert {r[0] for r in table_rows(spark, path)} == set("abcdeyz")
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_") and p.name != "_SUCCESS"]
+
+
+def test_merge_into_very_many_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.range(300).selectExpr("CAST(id AS STRING) AS k", "'a' AS v", "1 AS year", "CAST(id AS INT) AS day")
+    merge_into_path(first, path, ["k"], "*", ["year", "day"])
+    second = spark.range(150, 450).selectExpr("CAST(id AS STRING) AS k", "'b' AS v", "1 AS year", "CAST(id AS INT) AS day")
+    merge_into_path(second, path, ["k"], "*", ["year", "day"])
+    got = spark.read.parquet(path).groupBy("v").count()
+    assert rows(got) == [("a", 150), ("b", 300)]
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    fail = F.udf(lambda v: 1 // 0, "string")
+    path, dim = str(tmp_path / "t"), str(tmp_path / "d")
+    merge_into_path(spark.createDataFrame([("a", "old", 1, 1)], PARTS), path, ["k"], "*", ["year", "day"])
+    bad = spark.createDataFrame([("a", "new", 1, 1)], PARTS).withColumn("v", fail("v"))
+    with pytest.raises(Exception):
+        merge_into_path(bad, path, ["k"], "*", ["year", "day"])
+    assert table_rows(spark, path) == [("a", "old", 1, 1)]
+    assert [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()] == ["year=1"]
+    refresh_table(spark.createDataFrame([("a",)], "v string"), dim)
+    with pytest.raises(Exception):
+        refresh_table(spark.createDataFrame([("b",)], "v string").withColumn("v", fail("v")), dim)
+    assert rows(spark.read.parquet(dim)) == [("a",)]
+
+
+def test_a_day_is_written_by_many_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        day = spark.range(0, 60000, 1, 8).selectExpr("sha2(CAST(id AS STRING), 256) AS k", "'a' AS v", "1 AS year", "1 AS day")
+        merge_into_path(day, str(tmp_path / "t"), ["k"], "*", ["year", "day"])
+        files_written = list((tmp_path / "t" / "year=1" / "day=1").glob("*.parquet"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files_written) > 4
+
+
+def test_only_a_missing_path_is_no_table(spark, tmp_path):
+    assert not path_exists(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    assert not path_exists(spark, str(tmp_path / "empty"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        path_exists(spark, str(tmp_path / "broken"))
+
+
+def test_broadcasts_are_measured_without_a_limit(spark):
+    df = spark.range(100)
+    seen = df.agg(F.count(F.lit(1)), F.sum(session.row_bytes(df)))
+    assert "Limit" not in seen._jdf.queryExecution().executedPlan().toString()
+    assert session.fits_broadcast(df.limit(0))
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    path, name = session.scratch_path(spark, "gone"), session.scratch_name(spark, "gone")
+    spark.range(3).write.parquet(path)
+    spark.range(3).createOrReplaceTempView(name)
+    kept = session._scratch[spark.sparkContext.applicationId], session._names[spark.sparkContext.applicationId]
+    mine = ([path], [name])
+    for bag, own in zip((session._scratch, session._names), mine):
+        bag[spark.sparkContext.applicationId] = own
+    assert session.clear_scratch(spark) == 2
+    for bag, old in zip((session._scratch, session._names), kept):
+        bag[spark.sparkContext.applicationId] = old
+    assert not path_exists(spark, path) and not spark.catalog.tableExists(name)
+
+
 def test_table_helpers(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     path = str(tmp_path / "t1")
-    assert create_table(df, "t1", ["k"], path=path, rows=1)
+    assert create_table(df, "t1", ["k"], path=path)
     assert not create_table(df, "t1")
     with pytest.raises(ValueError):
         create_table(df, "t1", if_absent=False)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import retailflow.operators.merge as merge_module
 from retailflow.operators.merge import (
@@ -131,3 +132,56 @@ def test_small_source_leaves_the_target_unshuffled(spark):
     s = spark.range(10).selectExpr("id AS k", "2 AS a")
     plan = merge(t, s, ["k"], ["a"], insert=False)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def count_in_plan(df, what):
+    return df._jdf.queryExecution().executedPlan().toString().count(what)
+
+
+def test_large_source_scans_and_shuffles_each_side_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge_module, "BROADCAST_ROWS", -1)
+    spark.range(1000).selectExpr("id AS k", "1 AS a", "'t' AS b").write.parquet(str(tmp_path / "t"))
+    spark.range(500, 1500).selectExpr("id AS k", "2 AS a", "'s' AS b").write.parquet(str(tmp_path / "s"))
+    t, s = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    for update in ("*", ["a"], None):
+        df = merge(t, s, ["k"], update).hint("merge")
+        assert count_in_plan(df, "FileScan") <= 2 and count_in_plan(df, "Exchange hashpartitioning") <= 2
+        assert df.count() == 1500
+
+
+def test_null_keys_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(merge_module, "BROADCAST_ROWS", -1)
+    t = spark.range(2000).selectExpr("CASE WHEN id < 0 THEN 'x' END AS k", "1 AS j", "1 AS a", "'t' AS b")
+    s = spark.range(2000).selectExpr("CASE WHEN id < 0 THEN 'x' END AS k", "1 AS j", "2 AS a", "'s' AS b")
+    merged = merge(t, s, KEYS)
+    sizes = merged.groupBy(F.spark_partition_id()).count().collect()
+    assert merged.count() == 4000 and merged.filter("a = 1").count() == 2000
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in merge(t, s, KEYS).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == int(parts) and max(sizes) < 2000
+
+
+def test_a_hot_source_key_is_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge_module, "BROADCAST_ROWS", -1)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    spark.range(200).selectExpr("CAST(id AS STRING) AS k", "1 AS a", "'t' AS b").write.parquet(str(tmp_path / "t"))
+    hot = spark.range(0, 40000, 1, 8).selectExpr("'hot' AS k", "1 AS a", "sha2(CAST(id AS STRING), 256) AS b")
+    hot.union(spark.range(100).selectExpr("CAST(id + 1000 AS STRING)", "1", "'s'")).write.parquet(str(tmp_path / "s"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = merge(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["k"], None)
+        assert len(df.collect()) == 40300
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
