@@ -25,7 +25,7 @@ from retailflow.llm.common import materialise, small_batches
 CAPACITY = 2048
 CACHED_WORDS = 600_000
 #: Pieces that one task numbers within a length.
-NUMBERED_ROWS = 200_000
+NUMBERED_ROWS = 10_000
 
 
 class WordTokens(dict):
