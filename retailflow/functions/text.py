@@ -66,26 +66,32 @@ def translate_columns(
 
     ``translate`` maps a list of prompts to a list of texts. ``connect`` builds
     one on the executor, once per partition, for clients that cannot be shipped.
-    Null and empty texts are passed through without a call.
+    Null and empty texts are passed through without a call. Only the texts cross into
+    Python; other columns stay as they are and are pruned when unused.
     """
     if (translate is None) == (connect is None):
         raise ValueError("give either translate or connect")
     targets = {c: f"{prefix}{c}" if prefix else c for c in columns}
-    names = df.columns + [t for t in targets.values() if t not in df.columns]
-    fields = [df.schema[n] if n in df.columns else T.StructField(n, T.StringType()) for n in names]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         call = connect() if connect else translate
-        for pdf in frames:
-            out = pdf.copy()
-            for source, target in targets.items():
-                texts = pdf[source].astype(object)
+        for series in batches:
+            out = {}
+            # One column alone does not come as a tuple.
+            for name, texts in zip(columns, series if isinstance(series, tuple) else (series,)):
+                texts = texts.astype(object)
                 todo = texts[texts.map(lambda t: isinstance(t, str) and t != "")]
                 done: list[str] = []
                 for at in range(0, len(todo), batch):
                     done += call([PROMPT_PREFIX + t for t in todo.iloc[at : at + batch]])
                 texts.loc[todo.index] = done
-                out[target] = texts
-            yield out[names]
+                out[name] = texts
+            yield pd.DataFrame(out)
 
-    return df.mapInPandas(run, T.StructType(fields))
+    done = df.withColumn("__done", run(*[F.col(f"`{c}`") for c in columns]))
+    names = df.columns + [t for t in targets.values() if t not in df.columns]
+    source = {t: c for c, t in targets.items()}
+    return done.select(
+        *[F.col(f"__done.`{source[n]}`").alias(n) if n in source else F.col(f"`{n}`") for n in names]
+    )

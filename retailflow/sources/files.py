@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailflow.model import TABLES
+from retailflow.model import LINE_BREAKS, TABLES
 
 # CSV dialect of every landing file: quotes are doubled inside quoted text.
 CSV_DIALECT = {"quote": '"', "escape": '"'}
@@ -22,30 +27,67 @@ def read_csv_table(
     multiline: bool = True,
     compat: bool = False,
 ) -> DataFrame:
-    """A CSV table of one or many files, in one scan.
-
-    With a header, columns are bound by name: a file in another column order is
-    read right. ``multiline`` keeps records with line breaks whole, at the price
-    of one task per file. ``compat`` binds by position and breaks records at
-    line ends. An empty field is null, two quotes are an empty text. Without a
-    schema all columns are text, unless ``infer`` is set.
+    """A CSV table of one or many files.
+
+    With a header, columns are bound by name in every file: the first lines are read
+    first, and files with the same header form one scan. A column that a file lacks is null
+    there. ``multiline`` keeps records with line breaks whole, at the price of one task
+    per file. ``compat`` binds by position and breaks records at line ends. An empty field
+    is null, two quotes are an empty text. Without a schema the columns are those of all
+    headers and text, unless ``infer`` is set, which finds the types per header.
     """
     reader = spark.read.options(**CSV_DIALECT).option("header", header)
     reader = reader.option("multiLine", multiline and not compat)
     # The null mark stands for fields with nothing between the commas.
     reader = reader if compat else reader.option("nullValue", NULL_MARK)
-    if schema is None:
-        return reader.option("inferSchema", infer).csv(path)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if compat or not header:
-        return reader.schema(wanted).csv(path)
-    found = reader.option("inferSchema", False).csv(path).columns
+        return reader.schema(wanted).csv(path) if wanted else reader.option("inferSchema", infer).csv(path)
+    parts = [_bound(reader, where, names, wanted, infer) for names, where in _by_header(spark, reader, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_header(spark: SparkSession, reader, path: str | list[str]) -> list[tuple[list[str], str | list[str]]]:
+    """The distinct headers with the files that have them; one header keeps the path as it is."""
+    found = reader.option("inferSchema", False).csv(path)
+    groups: dict[tuple, list[str]] = {}
+    files = sorted(found.inputFiles())
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    java = spark._jvm.java.io
+
+    def first_line(file: str) -> tuple:
+        place = hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        stream = place.getFileSystem(conf).open(place)
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        lines = java.BufferedReader(java.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return tuple(next(csv.reader([lines.readLine() or ""]), []))
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for file, names in zip(files, pool.map(first_line, files)):
+            groups.setdefault(names, []).append(_glob_free(unquote(file)))
+    groups.pop((), None)
+    if len(groups) <= 1:
+        return [(found.columns, path)]
+    return [(list(names), where) for names, where in sorted(groups.items())]
+
+
+def _glob_free(path: str) -> str:
+    return "".join(f"\\{c}" if c in "[]{}*?" else c for c in path)
+
+
+def _bound(reader, path: str | list[str], names: list[str], wanted: T.StructType | None, infer: bool) -> DataFrame:
+    """Files of one header, with the wanted columns by name."""
+    if wanted is None:
+        return reader.option("inferSchema", infer).csv(path)
     by_name = {f.name: f for f in wanted.fields}
-    in_file = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in found])
+    in_file = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in names])
     df = reader.schema(in_file).csv(path)
     return df.select(
         *[
-            F.col(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
             for f in wanted.fields
         ]
     )
@@ -58,11 +100,13 @@ def landing_path(root: str, table: str, day: str | None = None) -> str:
 
 def read_landing(spark: SparkSession, root: str, table: str, day: str | None = None) -> DataFrame:
     """The landing CSV of one table and day, with the table's schema."""
-    return read_csv_table(spark, landing_path(root, table, day), TABLES[table].ddl)
+    return read_csv_table(
+        spark, landing_path(root, table, day), TABLES[table].ddl, multiline=table in LINE_BREAKS
+    )
 
 
 def read_text_stack(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Many CSV files of one layout as one frame of text columns."""
+    """Many CSV files as one frame of text columns, bound by name."""
     return read_csv_table(spark, paths, infer=False)
 
 
@@ -108,7 +152,9 @@ def crawl_ddl(spark: SparkSession, path: str, name: str, fmt: str = "csv", sampl
     """CREATE TABLE text for the files at ``path``."""
     rows = crawl_schema(spark, path, fmt, sample).orderBy("position").collect()
     columns = ",\n  ".join(f"`{r['column_name']}` {r['data_type']}" for r in rows)
-    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {columns}\n) USING {fmt} LOCATION '{path}'"
+    options = ", ".join(f"'{k}' = '{v}'" for k, v in {"header": "true", **CSV_DIALECT}.items())
+    how = f"{fmt} OPTIONS ({options})" if fmt == "csv" else fmt
+    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {columns}\n) USING {how} LOCATION '{path}'"
 
 
 def sequence_source(spark: SparkSession, n: int, length: int = 10) -> DataFrame:

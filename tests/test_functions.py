@@ -78,6 +78,19 @@ def test_translate_passes_nulls_and_batches(spark):
         text.translate_columns(df, ["a"])
 
 
+def test_translation_leaves_other_columns_alone(spark, tmp_path):
+    schema = "id bigint, at timestamp_ntz, t string, rest string"
+    far = dt.datetime(9999, 12, 31, 23, 59)
+    data = [(9007199254740993, far, "oi", "x"), (None, None, None, None)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = text.translate_columns(df, ["t"], translate=lambda ts: [t.upper() for t in ts])
+    assert rows(out) == [(9007199254740993, far, "<2EN> OI", "x"), (None, None, None, None)]
+    assert out.dtypes == df.dtypes
+    plan = out.select("t")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<t:string>" in plan
+
+
 @pytest.fixture
 def stamped(spark):
     at = ["2016-12-31 23:59:59", "2017-01-01 00:00:00", "2017-01-01 23:59:59", "2017-01-02 00:00:00", "2017-02-01 00:00:00"]
