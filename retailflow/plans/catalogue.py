@@ -29,6 +29,7 @@ def load() -> None:
     from retailflow.plans import (  # noqa: F401
         queries_batch,
         queries_files,
+        queries_flow,
         queries_quality,
         queries_streams,
     )

@@ -1,9 +1,9 @@
 """Day loads: extract, check and merge into the lakehouse, load the warehouse.
 
-Tables live under one root as Parquet, partitioned by time. The partition of a
-row never changes: orders and reviews take it from their own
-time, items and payments from the purchase day of their order (the load cursor).
-A load therefore touches only the partitions of its days.
+Tables live under one root as Parquet, partitioned by time: orders and reviews by their
+own time, items and payments by the purchase day of their order (the load cursor).
+A load rewrites the partitions of its days and those that hold its keys already, so a
+row whose day changes moves.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ class Lake:
 
     root: str
     partition_by: tuple[str, ...] = tuple(DATE_PARTS)
+    first_day: str = FIRST_DAY
 
     def table(self, name: str) -> str:
         return f"{self.root}/lakehouse/{name}"
@@ -167,17 +168,30 @@ def warehouse_day(
     end: str | None = None,
     merge_rows: Callable[[DataFrame, str, list[str]], None] | None = None,
     insert_only_items: bool = False,
+    through_orders: bool = False,
 ) -> bool:
     """Merge one day of a lakehouse table, or the days ``[day, end)``, into the warehouse.
 
     ``merge_rows(rows, table, keys)`` may send the rows to a database (see
     ``staged_merge``); by default they go to Parquet tables under the root. A
     lakehouse table that does not exist yet, or a day without rows, is skipped.
+    ``through_orders`` takes the child rows of the orders in the day's partition of the
+    orders table, wherever the children lie.
     """
-    if not path_exists(spark, lake.table(name)):
+    needed = [name, "orders"] if through_orders else [name]
+    if not all(path_exists(spark, lake.table(n)) for n in needed):
         return False
     table = spark.read.parquet(lake.table(name))
-    rows = partition_range(table, day, end) if end else partition_slice(table, day)
+
+    def cut(df: DataFrame) -> DataFrame:
+        return partition_range(df, day, end) if end else partition_slice(df, day)
+
+    if through_orders:
+        picked = broadcast_if_small(cut(spark.read.parquet(lake.table("orders"))).select("order_id"))
+        joined = left_from_few(picked, table)
+        rows = joined.select(*[F.col(f"__{c}").alias(c) for c in table.columns]).filter("order_id IS NOT NULL")
+    else:
+        rows = cut(table)
     if rows.isEmpty():
         return False
     keys = WAREHOUSE_KEYS[name]
@@ -200,9 +214,9 @@ def refresh_dimension(source: DataFrame, lake: Lake, name: str, landing: bool =
 
 
 def read_cursor(spark: SparkSession, lake: Lake, name: str) -> str:
-    """The next day to load; the first day of the data when nothing was loaded."""
+    """The next day to load; the lake's first day when nothing was loaded."""
     if not path_exists(spark, f"{lake.cursors}/{name}"):
-        return FIRST_DAY
+        return lake.first_day
     row = spark.read.parquet(f"{lake.cursors}/{name}").agg(F.max("next_day").alias("d")).first()
     return row["d"]
 

@@ -11,8 +11,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from retailflow.functions.text import PROMPT_PREFIX, prompt, translate_columns
-from retailflow.functions.time import month_text
-from retailflow.model import BACKFILL_END, DATE_PARTS, ORDER_ITEMS
+from retailflow.functions.time import month_text, next_day
+from retailflow.model import DATE_PARTS, FACTS, ORDER_ITEMS
 from retailflow.operators.layout import bucketed
 from retailflow.operators.merge import merge
 from retailflow.operators.slices import add_date_parts, partition_slice
@@ -54,7 +54,24 @@ def landing_csv_scan(spark, d):
     orders = src.orders(spark, d)
     # Written in another column order: the scan binds columns by header.
     write_csv(orders.select(*reversed(orders.columns)), path)
-    return files.read_csv_table(spark, path, ORDERS_DDL)
+    return files.read_csv_table(spark, path, ORDERS_DDL, multiline=False)
+
+
+@query(
+    "landing_mixed_headers",
+    f"""WITH {sql.ORDERS} SELECT order_id, customer_id, CASE WHEN order_id % 3 <> 2 THEN order_status END AS order_status,
+      order_purchase_timestamp, order_approved_at, order_delivered_carrier_date, order_delivered_customer_date,
+      order_estimated_delivery_date FROM o""",
+)
+def landing_mixed_headers(spark, d):
+    """Files in two column orders, and files that lack a column, as one table."""
+    path = scratch_path(spark, "orders_mixed")
+    orders = src.orders(spark, d)
+    part = F.pmod("order_id", F.lit(3))
+    write_csv(orders.filter(part == 0), path)
+    write_csv(orders.filter(part == 1).select(*reversed(orders.columns)), path, mode="append")
+    write_csv(orders.filter(part == 2).drop("order_status"), path, mode="append")
+    return files.read_csv_table(spark, path, ORDERS_DDL, multiline=False)
 
 
 @query(
@@ -64,7 +81,7 @@ def landing_csv_scan(spark, d):
 )
 def reviews_multiline_csv(spark, d):
     path = scratch_path(spark, "reviews_csv")
-    write_csv(src.order_reviews(spark, d), path)
+    write_csv(src.order_reviews(spark, d), path, line_breaks=True)
     ddl = """order_id bigint, review_id string, review_answer_timestamp timestamp_ntz,
         review_comment_message string, review_comment_title string,
         review_creation_date timestamp_ntz, review_score int"""
@@ -121,11 +138,26 @@ def document_scan(spark, d):
     return read.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("n_chars"))
 
 
-@query("schema_crawl")
+@query(
+    "schema_crawl",
+    """SELECT * FROM (VALUES (0, 'order_id', 'int'), (1, 'order_item_id', 'int'), (2, 'product_id', 'int'),
+      (3, 'seller_id', 'int'), (4, 'shipping_limit_date', 'timestamp'), (5, 'price', 'double'),
+      (6, 'freight_value', 'double')) t(position, column_name, data_type)""",
+)
 def schema_crawl(spark, d):
     path = scratch_path(spark, "items_csv")
     write_csv(src.order_items(spark, d), path)
-    return files.crawl_schema(spark, path, sample=0.5)
+    return files.crawl_schema(spark, path)
+
+
+@query("crawled_table_scan", f"WITH {sql.ITEMS} SELECT * FROM i")
+def crawled_table_scan(spark, d):
+    """The files of a crawled table, read through the catalog."""
+    path, name = scratch_path(spark, "items_csv"), scratch_name(spark, "items_crawled")
+    items = src.order_items(spark, d)
+    write_csv(items, path)
+    spark.sql(files.crawl_ddl(spark, path, name))
+    return spark.table(name).select(*[F.col(f.name).cast(f.dataType) for f in items.schema.fields])
 
 
 @query(
@@ -255,7 +287,8 @@ def cleared_table_reload(spark, d):
 
 @query(
     "refreshed_dimension",
-    "SELECT c_custkey AS customer_id, c_name AS customer_unique_id, c_mktsegment AS customer_city FROM customer",
+    """SELECT c_custkey AS customer_id, c_name AS customer_unique_id, c_nationkey AS customer_zip_code_prefix,
+      c_mktsegment AS customer_city, 'BR' AS customer_state FROM customer""",
 )
 def refreshed_dimension(spark, d):
     path = scratch_path(spark, "customers")
@@ -263,7 +296,7 @@ def refreshed_dimension(spark, d):
     refresh_table(customers.withColumn("customer_city", F.lit("old")), path)
     refresh_table(customers, path)
     refresh_table(customers.filter("customer_id IS NULL"), path)
-    return spark.read.parquet(path).select("customer_id", "customer_unique_id", "customer_city")
+    return spark.read.parquet(path)
 
 
 @query(
@@ -314,24 +347,39 @@ def staged_merge_tables(spark, d):
 
 # --- day loads ---------------------------------------------------------------
 def _loaded(spark, d, name: str, runs: int = 1):
+    """A lakehouse table after loads of all its days, from the first to the last."""
     lake = lakes.Lake(scratch_path(spark, "lake"), partition_by=("year", "month"))
     tables = src.retail_tables(spark, d)
+    time = FACTS[name].slice_time
+    days = tables[name if time else "orders"].agg(
+        *[F.date_format(f(time or PURCHASED), "yyyy-MM-dd") for f in (F.min, F.max)]
+    )
+    first, last = days.first()
     for _ in range(runs):
-        lakes.backfill(tables, lake, name, "1990-01-01", BACKFILL_END)
+        lakes.backfill(tables, lake, name, first, next_day(last))
     return lake, spark.read.parquet(lake.table(name))
 
 
+DAY_PARTS = """CAST(year({t}) AS INTEGER) AS year, CAST(month({t}) AS INTEGER) AS month, CAST(day({t}) AS INTEGER) AS day"""
+
+
 @query(
     "lakehouse_orders",
-    f"""WITH {sql.ORDERS} SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS year, order_status,
-      count(*) AS n, count(order_approved_at) AS n_approved FROM o GROUP BY 1, 2""",
+    f"WITH {sql.ORDERS} SELECT {sql.ORDER_COLUMNS}, {DAY_PARTS.format(t='order_purchase_timestamp')} FROM o",
 )
 def lakehouse_orders(spark, d):
     """Checked and merged twice over all days: the second load changes nothing."""
     _, table = _loaded(spark, d, "orders", runs=2)
-    return table.groupBy("year", "order_status").agg(
-        F.count(F.lit(1)).alias("n"), F.count("order_approved_at").alias("n_approved")
-    )
+    return table
+
+
+@query(
+    "lakehouse_payments",
+    f"""WITH {sql.ORDERS}, {sql.PAYMENTS} SELECT p.*, {DAY_PARTS.format(t='order_purchase_timestamp')}
+    FROM p JOIN o ON p.order_id = o.order_id""",
+)
+def lakehouse_payments(spark, d):
+    return _loaded(spark, d, "order_payments")[1]
 
 
 @query(
@@ -349,12 +397,14 @@ def lakehouse_payments_by_month(spark, d):
 
 @query(
     "lakehouse_reviews",
-    f"""WITH {sql.REVIEWS} SELECT order_id, review_id, review_score, review_creation_date FROM r
+    f"""WITH {sql.REVIEWS} SELECT order_id, review_id, review_answer_timestamp, md5(review_comment_message) AS message_md5,
+      review_comment_title, review_creation_date, review_score, {DAY_PARTS.format(t='review_creation_date')} FROM r
     WHERE review_score IS NOT NULL AND length(review_id) = 32""",
 )
 def lakehouse_reviews(spark, d):
     _, table = _loaded(spark, d, "order_reviews")
-    return table.select("order_id", "review_id", "review_score", "review_creation_date")
+    digest = F.md5("review_comment_message").alias("message_md5")
+    return table.select(*[digest if c == "review_comment_message" else F.col(c) for c in table.columns])
 
 
 @query(
@@ -365,7 +415,8 @@ def lakehouse_reviews(spark, d):
 def warehouse_orders(spark, d):
     """The days from 1996 on, then one of them again."""
     lake, _ = _loaded(spark, d, "orders")
-    lakes.warehouse_day(spark, lake, "orders", "1996-01-01", end=BACKFILL_END)
+    last = spark.read.parquet(lake.table("orders")).agg(F.date_format(F.max(PURCHASED), "yyyy-MM-dd")).first()[0]
+    lakes.warehouse_day(spark, lake, "orders", "1996-01-01", end=next_day(last))
     lakes.warehouse_day(spark, lake, "orders", DAY)
     return spark.read.parquet(lake.warehouse("orders")).drop(*DATE_PARTS)
 

@@ -150,7 +150,7 @@ def _exact(profiled):
     ),
 )
 def profile_orders(spark, d):
-    return _exact(profile.profile(src.orders(spark, d)))
+    return _exact(profile.profile(src.orders(spark, d), percentiles=False))
 
 
 @query(
@@ -170,7 +170,7 @@ def profile_orders(spark, d):
     ),
 )
 def profile_items(spark, d):
-    return _exact(profile.profile(src.order_items(spark, d)))
+    return _exact(profile.profile(src.order_items(spark, d), percentiles=False))
 
 
 @query("profile_approximate")

@@ -171,11 +171,11 @@ def cdc_latest_state(spark, d):
 
 
 # --- streams -----------------------------------------------------------------
-def _feed(df, spark, name):
+def _feed(df, spark, name, files_per_batch=1000):
     """Write messages as Parquet files and open them as a stream."""
     path = scratch_path(spark, f"{name}_feed")
     df.write.parquet(path)
-    return read_change_stream(spark, path, "parquet", df.schema)
+    return read_change_stream(spark, path, "parquet", df.schema, files_per_batch=files_per_batch)
 
 
 def _through_files(rows, spark, name):
@@ -240,10 +240,37 @@ def stream_statement_set(spark, d):
 
 @query("stream_upsert_state", LATEST)
 def stream_upsert_state(spark, d):
-    """Keyed upsert over micro-batches; the state is the last version per user."""
+    """Keyed upsert over four micro-batches, the first three compacted; the last version per user."""
     events = src.table(spark, d, "events").select("user_id", "event_id", "event_type", "value", "ts")
     log = scratch_path(spark, "state")
     sink = sinks.upsert_sink(["user_id"], ["ts", "event_id"], sinks.version_writer(log))
-    stream = _feed(events, spark, "events")
+    parts = spark.sparkContext.defaultParallelism
+    stream = _feed(events.repartition(4 * parts, "event_id"), spark, "events", files_per_batch=parts)
     sinks.start_sink(stream, sink, scratch_path(spark, "state_checkpoint")).awaitTermination()
+    sinks.compact_versions(spark, log, ["user_id"], ["ts", "event_id"])
     return sinks.read_state(spark, log, ["user_id"], ["ts", "event_id"])
+
+
+@query(
+    "cdc_reviews_from_topic",
+    REVIEWS_DECODED,
+)
+def cdc_reviews_from_topic(spark, d):
+    """Records as they come from a topic: a value that holds one payload text."""
+    records = review_changes(spark, d).select(F.to_json(F.struct("payload")).cast("binary").alias("value"))
+    return decode.reviews_rows(decode.decode_kafka(records, "json", "payload string"))
+
+
+@query(
+    "stream_row_counts",
+    "SELECT 'orders' AS stream, count(*) AS n_rows FROM orders UNION ALL SELECT 'events', count(*) FROM events",
+)
+def stream_row_counts(spark, d):
+    """Rows that finished streams report to have read."""
+    rows = []
+    for name, df in (("orders", order_changes(spark, d)), ("events", src.table(spark, d, "events"))):
+        out = scratch_path(spark, f"{name}_counted")
+        started = sinks.start_files(_feed(df, spark, name), out, scratch_path(spark, f"{name}_checkpoint"))
+        started.awaitTermination()
+        rows.append((name, sinks.input_rows(started)))
+    return spark.createDataFrame(rows, "stream string, n_rows bigint")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from retailflow.sinks.folders import Folders, fresh
+
 Writer = Callable[[DataFrame, int], None]
 
 
@@ -54,10 +56,13 @@ def upsert_sink(keys: list[str], position: list[str], writer: Writer, rejected:
         malformed = _any_null(keys)
         if rejected:
             df = df.persist()  # read by both writers
-        writer(latest_state(df.filter(~malformed), keys, position), batch_id)
-        if rejected:
-            rejected(df.filter(malformed), batch_id)
-            df.unpersist()
+        try:
+            writer(latest_state(df.filter(~malformed), keys, position), batch_id)
+            if rejected:
+                rejected(df.filter(malformed), batch_id)
+        finally:
+            if rejected:
+                df.unpersist()
 
     return sink
 
@@ -76,6 +81,32 @@ def read_state(spark: SparkSession, root: str, keys: list[str], position: list[s
     return latest_state(spark.read.parquet(root).drop("batch_id"), keys, position)
 
 
+def compact_versions(spark: SparkSession, root: str, keys: list[str], position: list[str]) -> int:
+    """Fold all finished batches of a version log into one snapshot; returns how many.
+
+    The last batch stays as it is, because it may be delivered again and then replaces
+    its own folder. A snapshot is a further folder with a negative number. It is put in
+    place before the folders that it replaces go, and a version that is found twice
+    changes nothing, so a compaction may stop at any point and be run again.
+    """
+    folders = Folders(spark, root)
+    numbers = sorted(int(n.removeprefix("batch_id=")) for n in folders.leaves(root))
+    done = numbers[:-1]
+    if len(done) < 2 or numbers[-1] < 0:
+        return 0
+    folded = spark.read.option("basePath", root).parquet(*[f"{root}/batch_id={n}" for n in done]).drop("batch_id")
+    staged = fresh(root, "staged")
+    try:
+        latest_state(folded, keys, position).write.parquet(staged)
+        folders.move(staged, f"{root}/batch_id={min(done[0], 0) - 1}")
+    finally:
+        folders.delete(staged)
+    for n in done:
+        folders.delete(f"{root}/batch_id={n}")
+    spark.catalog.refreshByPath(root)
+    return len(done)
+
+
 def start_sink(df: DataFrame, sink: Writer, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Start a query that hands each micro-batch to a sink."""
     writer = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

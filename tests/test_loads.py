@@ -12,7 +12,7 @@ from retailflow.operators import merge as merge_module
 from retailflow.operators.merge import MergeConflict
 from retailflow.plans import bi, lake as lakes
 from retailflow.quality.checks import CheckFailed
-from retailflow.sinks import jdbc as jdbc_sink
+from retailflow.sinks import jdbc as jdbc_sink, landing
 from retailflow.sinks.landing import write_csv, write_landing
 from retailflow.sinks.tables import (
     clear_target,
@@ -142,6 +142,30 @@ def test_landing_columns_bind_by_name(spark, tmp_path):
     assert files.landing_path("/r", "orders", " 2017-01-01 ") == "/r/landing/orders/orders.2017-01-01.csv"
 
 
+def test_files_with_different_headers(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "1.csv").write_text("a,b\n1,x\n")
+    (path / "2.csv").write_text('"b",a\ny,2\n')
+    (path / "3.csv").write_text("b\nz\n")
+    (path / "4 5.csv").write_text("c,a,b\nc,4,w\n")
+    (path / "6.csv").write_text("")
+    want = [(1, "x"), (2, "y"), (4, "w"), (None, "z")]
+    for multiline in (True, False):
+        assert rows(files.read_csv_table(spark, str(path), "a int, b string", multiline=multiline)) == want
+    stack = files.read_text_stack(spark, str(path))
+    assert rows(stack, "a", "b", "c") == [("1", "x", None), ("2", "y", None), ("4", "w", "c"), (None, "z", None)]
+
+
+def test_files_of_line_spanning_records_are_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "WHOLE_FILE_BYTES", 20_000)
+    df = spark.range(0, 500, 1, 1).selectExpr("CAST(id AS STRING) AS k", "repeat('a\nb', 100) AS t")
+    write_csv(df, str(tmp_path / "t"), line_breaks=True)
+    written = list((tmp_path / "t").glob("*.csv"))
+    assert len(written) > 5 and max(p.stat().st_size for p in written) < 40_000
+    assert files.read_csv_table(spark, str(tmp_path / "t"), "k string, t string").distinct().count() == 500
+
+
 def test_csv_forms(spark, tmp_path):
     path = str(tmp_path / "t")
     write_csv(spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string"), path)

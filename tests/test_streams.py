@@ -126,3 +126,33 @@ def test_start_all_runs_every_stream(spark, tmp_path):
     for query in sinks.start_all(streams, str(tmp_path / "cp")).values():
         query.awaitTermination()
     assert all(spark.read.json(str(tmp_path / n)).count() == 1 for n in ("a", "b"))
+
+
+def test_version_log_is_compacted(spark, tmp_path):
+    log, keys, position = str(tmp_path / "log"), ["k"], ["at"]
+    writer = sinks.version_writer(log)
+    for batch in range(5):
+        writer(spark.createDataFrame([(1, batch, "x"), (10 + batch, 0, "y")], "k int, at int, v string"), batch)
+    state = rows(sinks.read_state(spark, log, keys, position))
+    assert sinks.compact_versions(spark, log, keys, position) == 4
+    assert sorted(p.name for p in tmp_path.joinpath("log").iterdir()) == ["batch_id=-1", "batch_id=4"]
+    assert rows(sinks.read_state(spark, log, keys, position)) == state
+    assert sinks.compact_versions(spark, log, keys, position) == 0
+    # The last batch comes again, then two more; a second snapshot replaces the first.
+    writer(spark.createDataFrame([(1, 4, "x"), (14, 0, "y")], "k int, at int, v string"), 4)
+    for batch in (5, 6):
+        writer(spark.createDataFrame([(1, batch, "z")], "k int, at int, v string"), batch)
+    assert sinks.compact_versions(spark, log, keys, position) == 3
+    assert sorted(p.name for p in tmp_path.joinpath("log").iterdir()) == ["batch_id=-2", "batch_id=6"]
+    got = rows(sinks.read_state(spark, log, keys, position))
+    assert got == sorted([(1, 6, "z")] + [r for r in state if r[0] != 1])
+
+
+def test_rejected_rows_are_released_when_a_writer_fails(spark):
+    def fail(df, batch_id):
+        raise RuntimeError("down")
+
+    df = spark.createDataFrame([(1, 1)], "k int, at int")
+    with pytest.raises(RuntimeError):
+        sinks.upsert_sink(["k"], ["at"], fail, rejected=fail)(df, 0)
+    assert not df.is_cached
