@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import materialise
+from retailflow.session import scratch_path
 
 STEPS = 1024
 BLOCK_ROWS = 2048
 #: Queries of one pass. Their vectors and intervals are all that is broadcast.
 PASS_QUERIES = 8192
 PASS_BYTES = 64 * 1024 * 1024
+#: Queries that are scored against a block at once, which bounds the score matrix.
+SCORED_QUERIES = 256
 #: Integers of this size are exact in double precision.
 EXACT = 2.0**53
 
@@ -65,7 +68,8 @@ def top_k(
     The candidate blocks never move: a pass broadcasts at most ``pass_queries``
     queries (and ``PASS_BYTES``) and reads the blocks once per round. A block sends
     back at most ``k`` counts, and in the end at most ``k`` rows above and ``k`` rows
-    level with the kth score, for each query.
+    level with the kth score, for each query. Every pass appends its result to one stored
+    table, so the plan stays the same however many passes there are.
     """
     spark = vectors.sparkSession
     whole = materialise(integer_vectors(vectors, id_col, vector_col, factor), "integers")
@@ -75,7 +79,10 @@ def top_k(
     bounds = blocks.groupBy("d").agg(F.max("longest").alias("longest")).collect()
     longest = {r["d"]: r["longest"] for r in bounds}
     queries = whole.filter(F.pmod("i", F.lit(every)) == 0)
-    found = []
+    done = scratch_path(spark, "llm-top-k")
+    schema = "query_id long, rank int, vec_id long, score long"
+    spark.createDataFrame([], schema).write.parquet(done)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     for d, top in sorted(longest.items()):
         same = queries.filter(F.size("x") == d)
         per_pass = max(1, min(pass_queries, PASS_BYTES // (8 * d)))
@@ -84,17 +91,11 @@ def top_k(
         # A pass takes the ids of one hash class, cut again should the class be uneven.
         for p in range(passes):
             mine = same.filter(F.pmod(F.xxhash64("i"), F.lit(passes)) == p)
-            found += [
-                _search(spark, blocks.filter(F.col("d") == d), ids, values, top, k)
-                for ids, values in _query_groups(mine, per_pass)
-            ]
-    schema = "query_id long, vec_id long, score long"
-    near = spark.createDataFrame([], schema)
-    for part in found:
-        near = near.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            for ids, values in _query_groups(mine, per_pass):
+                near = _search(spark, blocks.filter(F.col("d") == d), ids, values, top, k)
+                ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+                ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(done)
+    return spark.read.schema(schema).parquet(done)
 
 
 def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,8 +152,8 @@ def _search(spark, blocks: DataFrame, ids: np.ndarray, values: np.ndarray, longe
 
         def count(batches, sent=sent):
             for batch in batches:
-                for own, scores in score_blocks(batch, *fixed.value):
-                    yield histogram(scores, own, fixed.value[0], sent.value)
+                for _, part, scores in score_blocks(batch, *fixed.value):
+                    yield histogram(scores, part, sent.value)
 
         parts = blocks.mapInPandas(count, "q int, step int, n long")
         counts = parts.groupBy("q", "step").agg(F.sum("n").alias("n")).toPandas()
@@ -163,37 +164,47 @@ def _search(spark, blocks: DataFrame, ids: np.ndarray, values: np.ndarray, longe
 
     def select(batches):
         for batch in batches:
-            for own, scores in score_blocks(batch, *fixed.value):
-                yield at_or_above(scores, own, fixed.value[0], kth.value, k)
+            for own, part, scores in score_blocks(batch, *fixed.value):
+                yield at_or_above(scores, own, fixed.value[0], part, kth.value, k)
 
     return blocks.mapInPandas(select, "query_id long, vec_id long, score long")
 
 
-def score_blocks(batch: pd.DataFrame, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and scores (query by row) of every block; the own row of a query scores lowest."""
+def score_blocks(
+    batch: pd.DataFrame, ids: np.ndarray, values: np.ndarray
+) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
+    """Ids, a slice of the queries, and scores (query by row) of every block.
+
+    The own row of a query scores lowest.
+    """
     for own, packed, d in zip(batch["ids"], batch["values"], batch["d"]):
         own = np.frombuffer(own, dtype=np.int64)
-        scores = np.rint(values @ np.frombuffer(packed).reshape(-1, d).T).astype(np.int64)
+        rows = np.frombuffer(packed).reshape(-1, d).T
         at = np.searchsorted(own, ids)
         hit = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == ids)
-        scores[np.nonzero(hit)[0], at[hit]] = np.iinfo(np.int64).min
-        yield own, scores
+        for first in range(0, len(ids), SCORED_QUERIES):
+            part = slice(first, first + SCORED_QUERIES)
+            scores = np.rint(values[part] @ rows).astype(np.int64)
+            scores[np.nonzero(hit[part])[0], at[part][hit[part]]] = np.iinfo(np.int64).min
+            yield own, part, scores
 
 
-def histogram(scores: np.ndarray, own: np.ndarray, ids: np.ndarray, state: dict) -> pd.DataFrame:
+def histogram(scores: np.ndarray, part: slice, state: dict) -> pd.DataFrame:
     """Counts of one block per query and step, highest steps first, until enough are counted.
 
     Lower steps cannot hold the kth score, as this block alone has enough above them.
     """
-    open_ = np.nonzero(state["width"] > 0)[0]
-    low, width = state["low"][open_, None], state["width"][open_, None]
-    inside = (scores[open_] >= low) & (scores[open_] < state["high"][open_, None])
+    all_low, all_high, all_width, all_need = (state[c][part] for c in ("low", "high", "width", "need"))
+    open_ = np.nonzero(all_width > 0)[0]
+    low, width = all_low[open_, None], all_width[open_, None]
+    inside = (scores[open_] >= low) & (scores[open_] < all_high[open_, None])
     row, col = np.nonzero(inside)
     step = (scores[open_[row], col] - low[row, 0]) // width[row, 0]
     counts = np.bincount(row * STEPS + step, minlength=len(open_) * STEPS).reshape(len(open_), STEPS)
     above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
-    q, s = np.nonzero((counts > 0) & (above < state["need"][open_, None]))
-    return pd.DataFrame({"q": open_[q].astype("int32"), "step": s.astype("int32"), "n": counts[q, s]})
+    q, s = np.nonzero((counts > 0) & (above < all_need[open_, None]))
+    at = open_[q] + part.start
+    return pd.DataFrame({"q": at.astype("int32"), "step": s.astype("int32"), "n": counts[q, s]})
 
 
 def refine(state: dict, counts: pd.DataFrame) -> dict:
@@ -220,11 +231,13 @@ def refine(state: dict, counts: pd.DataFrame) -> dict:
     return {"low": low, "high": high, "width": width, "need": need, "all": all_}
 
 
-def at_or_above(scores: np.ndarray, own: np.ndarray, ids: np.ndarray, state: dict, k: int) -> pd.DataFrame:
+def at_or_above(
+    scores: np.ndarray, own: np.ndarray, ids: np.ndarray, part: slice, state: dict, k: int
+) -> pd.DataFrame:
     """Rows above the kth score, and the ``k`` smallest ids level with it."""
     lowest = np.iinfo(np.int64).min
-    least = np.where(state["all"], lowest + 1, state["low"])[:, None]
+    least = np.where(state["all"][part], lowest + 1, state["low"][part])[:, None]
     level = scores == least
     chosen = (scores > least) | (level & (level.cumsum(axis=1) <= k))
     q, c = np.nonzero(chosen)
-    return pd.DataFrame({"query_id": ids[q], "vec_id": own[c], "score": scores[q, c]})
+    return pd.DataFrame({"query_id": ids[part][q], "vec_id": own[c], "score": scores[q, c]})

@@ -108,6 +108,7 @@ def brute_top(rows, k, every):
 def test_top_k(spark, monkeypatch, block, steps, group):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
     monkeypatch.setattr(topk, "STEPS", steps)
+    monkeypatch.setattr(topk, "SCORED_QUERIES", 4)
     rows = vectors(4, 150) + odd_rows() + [(7000 + i, [0.5] * 16, 1, "x", "y") for i in range(12)]
     got = topk.top_k(spark.createDataFrame(rows, SCHEMA), k=5, every=10, pass_queries=group).collect()
     assert sorted(tuple(r) for r in got) == brute_top(rows, 5, 10)
