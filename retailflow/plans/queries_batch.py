@@ -198,6 +198,18 @@ def partition_skew(spark, d):
     return agg.partition_skew(src.orders(spark, d), PURCHASED)
 
 
+@query(
+    "partition_skew_totals",
+    "SELECT count(*) AS n_rows, min(o_orderdate) AS min_value, max(o_orderdate) AS max_value FROM orders",
+)
+def partition_skew_totals(spark, d):
+    """The partition rows added up: what no file layout changes."""
+    per_partition = agg.partition_skew(src.orders(spark, d), PURCHASED)
+    return per_partition.agg(
+        F.sum("n_rows").alias("n_rows"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")
+    )
+
+
 # --- slices ------------------------------------------------------------------
 @query(
     "day_slice_orders",

@@ -179,7 +179,30 @@ def profile_approximate(spark, d):
     return rows.select("column", "approx_distinct", "percentiles")
 
 
-@query("constraint_suggestions")
+SUGGESTED = f"""WITH {sql.ORDERS},
+c AS (SELECT "column", n / total AS ratio, total FROM (SELECT count(*) AS total FROM o), (
+  UNPIVOT (SELECT count(COLUMNS(*)) AS "\\0" FROM o) ON COLUMNS(*) INTO NAME "column" VALUE n)),
+v AS (SELECT order_status AS v, count(*) AS n FROM o WHERE order_status IS NOT NULL GROUP BY 1),
+s AS (SELECT v, n, sum(n) OVER () AS total,
+  coalesce(sum(n) OVER (ORDER BY n DESC, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM v),
+k AS (SELECT * FROM s WHERE before / total < {profile.FRACTIONAL_CATEGORY_SHARE})
+SELECT "column", 'CompleteIfComplete' AS rule, "column" || ' is not null' AS description, 'Completeness: 1.0' AS current_value
+FROM c WHERE ratio = 1
+UNION ALL SELECT "column", 'RetainCompleteness', "column" || ' is at least '
+  || printf('%.2f', ratio - {profile.Z_95} * sqrt(ratio * (1 - ratio) / total)) || ' complete', 'Completeness: ' || CAST(ratio AS VARCHAR)
+FROM c WHERE ratio > 0.2 AND ratio < 1
+UNION ALL SELECT 'order_id', 'NonNegativeNumbers', 'order_id has no negative values', 'Minimum: ' || CAST(CAST(min(order_id) AS DOUBLE) AS VARCHAR) FROM o
+UNION ALL SELECT 'customer_id', 'NonNegativeNumbers', 'customer_id has no negative values',
+  'Minimum: ' || CAST(CAST(min(customer_id) AS DOUBLE) AS VARCHAR) FROM o
+UNION ALL SELECT 'order_status', 'CategoricalRange',
+  'order_status has value range ' || string_agg(chr(39) || v || chr(39), ', ' ORDER BY n DESC, v), 'Values: ' || count(*) FROM v
+UNION ALL SELECT 'order_status', 'FractionalCategoricalRange',
+  'order_status has value range ' || string_agg(chr(39) || v || chr(39), ', ' ORDER BY n DESC, v) || ' for at least '
+  || printf('%.2f', sum(n) / any_value(total)) || ' of values', 'Share: ' || CAST(sum(n) / any_value(total) AS VARCHAR)
+FROM k HAVING count(*) < (SELECT count(*) FROM v)"""
+
+
+@query("constraint_suggestions", SUGGESTED)
 def constraint_suggestions(spark, d):
     return profile.suggest(src.orders(spark, d))
 
