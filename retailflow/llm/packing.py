@@ -13,6 +13,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -20,10 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from retailflow.llm.bpe import byte_letters
 from retailflow.llm.common import materialise, small_batches
 
 CAPACITY = 2048
 CACHED_WORDS = 600_000
+#: Words up to this letter are alphabetic in any Unicode version.
+LAST_LATIN = "\u024f"
 #: Pieces that one task numbers within a length.
 NUMBERED_ROWS = 10_000
 
@@ -40,6 +44,8 @@ class WordTokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.letters = [c for c, _ in sorted(byte_letters().items(), key=lambda x: x[1])]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # str.split() also cuts at four control characters that the tokenizer keeps.
         self.odd = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -55,8 +61,14 @@ class WordTokens(dict):
     def __missing__(self, word: str) -> bytes:
         if len(word) > 1 and word[-1] in ".," and word[-2].lower().isalpha():
             out = self[word[:-1]] + self[word[-1]]
-        elif word.isascii() and not word.islower() and word.isalpha():
-            out = self[word.lower()]
+        elif word.isalpha() and max(word) <= LAST_LATIN:
+            low = word.lower()
+            if low == word and is_normalized("NFC", word):
+                # One pre-token as it stands: straight to the tokenizer's model.
+                letters = "".join(map(self.letters.__getitem__, word.encode()))
+                out = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            else:
+                out = self[low] if len(low) == len(word) and low != word else self._whole(word)
         else:
             out = self._whole(word)
         if len(word) <= 64:

@@ -23,6 +23,8 @@ def test_ids_equal_the_library(library):
     rng = random.Random(8)
     parts = ["The", "cat's", "İ.", "ΣΑΣ", "naïve,", "12.5", "日本。", "<|endoftext|>", " ", "\x1c", " ", "é.", "A.B.,", "Ⅷ²", "🙂."]
     texts = ["", " ", "I'll go"] + [rng.choice(["", " ", "\n"]).join(rng.choices(parts, k=30)) for _ in range(300)]
+    latin = [chr(n) for n in range(32, 0x260)]
+    texts += [" ".join(latin), " ".join("a" + c + "b" for c in latin), " ".join(c + "." for c in latin), "e\u0301a A\u030a"]
     for text in texts:
         want = library.encode(text, add_special_tokens=False).ids
         assert list(memoryview(table.encode(text)).cast("I")) == want
