@@ -7,16 +7,80 @@ train on. DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailflow.llm.common import materialise
+
 START, END = "<|start|>", "<|end|>"
 #: Turns of one rendering. Longer dialogues give several, so that a row stays bounded.
 PART_TURNS = 1024
+#: Messages of one rendering of ``rotate_dialogues``.
+PART_MESSAGES = 1024
+
+
+def rotate_dialogues(
+    turns: DataFrame, system_role: str = "system", part_messages: int = PART_MESSAGES
+) -> DataFrame:
+    """Every conversation, whole, from the view of each of its participants.
+
+    Columns and messages as in ``rotate``, but whoever speaks anywhere in a conversation gets
+    all of it, in the same order (null turns first):
+
+    - Messages are numbered in their order from 0; ``part`` is the number by ``part_messages``,
+      rounded down, whatever the turns are. So a row holds ``part_messages`` messages at most.
+    - Every participant gets every part. In a part in which they are silent ``mask`` is empty.
+    - Parts are slices: a participant's parts, put together in order, are the whole rendering, with
+      each message once. A system message stands in its place and is not repeated in later parts.
+    - Only a conversation without any participant gives no row.
+
+    Longer conversations are numbered in one task each. The
+    result holds participants times messages, which is what a view for each of them means.
+    """
+    said = _messages(turns)
+    sizes = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    long_ids = materialise(sizes.filter(F.col("n") > part_messages).select("conv_id"), "long-dialogues")
+    some_long = not long_ids.isEmpty()
+
+    short = said.join(long_ids, "conv_id", "left_anti") if some_long else said
+    whole = short.distinct().groupBy("conv_id").agg(_in_order().alias("messages"))
+    views = _views(whole.withColumn("part", F.lit(0).cast("long")), system_role)
+    if some_long:
+        numbered = _numbered(said.join(long_ids, "conv_id", "left_semi").distinct())
+        numbered = numbered.withColumn("part", F.floor(F.col("number") / F.lit(part_messages)).cast("long"))
+        parts = numbered.groupBy("conv_id", "part").agg(_in_order().alias("messages"))
+        speakers = numbered.filter(F.col("role").isNotNull() & (F.col("role") != system_role))
+        speakers = speakers.select("conv_id", F.col("role").alias("speaker")).distinct()
+        # Narrow rows meet first; the texts of a dialogue are dealt by part.
+        wanted = numbered.select("conv_id", "part").distinct().join(speakers, "conv_id")
+        views = views.unionByName(parts.join(wanted, ["conv_id", "part"]).select(*views.columns))
+    return _render(views, system_role)
+
+
+def _messages(turns: DataFrame) -> DataFrame:
+    role = F.trim("role")
+    return turns.filter(F.col("conv_id").isNotNull()).select(
+        "conv_id",
+        F.col("turn").alias("turn"),
+        F.when(role != "", role).alias("role"),
+        _plain(F.coalesce("text", F.lit(""))).alias("text"),
+    )
+
+
+def _in_order() -> Column:
+    return F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+
+
+def _numbered(messages: DataFrame) -> DataFrame:
+    """Distinct messages with their ``number`` in their conversation, from 0."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    return messages.withColumn("number", F.row_number().over(order) - 1)
 
 
 def rotate(turns: DataFrame, system_role: str = "system", part_turns: int = PART_TURNS) -> DataFrame:
-    """One row for each participant of each part of each conversation.
+    """One row for each participant of each part of each conversation, parts cut by turn number.
+
+    This is the cut of the registered SQL; ``rotate_dialogues`` gives whole dialogues.
 
     ``turns`` has ``conv_id, turn, role, text``; other columns do not matter. Columns:
     ``conv_id``, ``part`` (turn number by ``part_turns``, rounded down), ``speaker``, ``rendered``,
@@ -31,24 +95,23 @@ def rotate(turns: DataFrame, system_role: str = "system", part_turns: int = PART
       no conversation. Control marks inside texts and names are broken up.
     - An empty table gives an empty result.
 
-    A dialogue of a third of all rows becomes many groups of ``part_turns`` turns; rows
-    repeated within a turn fold with partial aggregates.
+    A part is one group, bounded in turn numbers but not in rows: all messages with null turns
+    stand in one, and so do those that share turn numbers.
     """
-    role = F.trim("role")
-    messages = turns.filter(F.col("conv_id").isNotNull()).select(
-        "conv_id",
-        F.coalesce(F.floor(F.col("turn") / F.lit(float(part_turns))).cast("long"), F.lit(-1).cast("long")).alias("part"),
-        F.struct(
-            F.col("turn").alias("turn"),
-            F.when(role != "", role).alias("role"),
-            _plain(F.coalesce("text", F.lit(""))).alias("text"),
-        ).alias("message"),
-    )
-    parts = messages.distinct().groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("message")).alias("messages"))
+    part = F.coalesce(F.floor(F.col("turn") / F.lit(float(part_turns))).cast("long"), F.lit(-1).cast("long"))
+    messages = _messages(turns).withColumn("part", part)
+    parts = messages.distinct().groupBy("conv_id", "part").agg(_in_order().alias("messages"))
+    return _render(_views(parts, system_role), system_role)
+
+
+def _views(parts: DataFrame, system_role: str) -> DataFrame:
+    """Each part once for each participant who speaks in it."""
     speakers = F.array_distinct(F.transform("messages", lambda m: m["role"]))
     speakers = F.filter(speakers, lambda r: r.isNotNull() & (r != system_role))
-    views = parts.select("conv_id", "part", "messages", F.explode(speakers).alias("speaker"))
+    return parts.select("conv_id", "part", "messages", F.explode(speakers).alias("speaker"))
+
 
+def _render(views: DataFrame, system_role: str) -> DataFrame:
     own = lambda m: m["role"].eqNullSafe(F.col("speaker"))
     pieces = F.transform(
         "messages",

@@ -32,7 +32,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from the view of each of its participants."""
-    return chat.rotate(read(spark, sf_dir, "conversations"))
+    return chat.rotate_dialogues(read(spark, sf_dir, "conversations"))
 
 
 def _with_fold(scored: DataFrame, modulus: int, held_out: int, *columns: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Chat rotation: against a plain version, with rows of every kind."""
 
-from retailflow.llm import chat
+from retailflow.llm import chat, queries
 
 SCHEMA = "conv_id long, turn long, role string, text string, part string, speaker int"
 
@@ -66,3 +66,61 @@ def test_plan_has_no_python(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plain_whole(rows, part_messages):
+    """Whole dialogues, cut by message number."""
+    dialogues = {}
+    for conv, turn, role, text, *_ in set(rows):
+        if conv is not None:
+            role = (role or "").strip(" ") or None
+            dialogues.setdefault(conv, set()).add((turn, role, (text or "").replace("<|", "< |")))
+    out = set()
+    for conv, messages in dialogues.items():
+        order = sorted(messages, key=lambda m: [(v is not None, v if v is not None else (0, "")[i]) for i, v in enumerate(m[:2])] + [m[2]])
+        for speaker in {r for _, r, _ in messages if r and r != "system"}:
+            for at in range(0, len(order), part_messages):
+                text, spans = "", []
+                for _, role, said in order[at : at + part_messages]:
+                    name = (role or "unknown").replace("<|", "< |").replace("\n", " ")
+                    text += "<|start|>" + ("assistant" if role == speaker else "system" if role == "system" else f"user name={name}") + "\n"
+                    if role == speaker:
+                        spans.append((len(text), len(text) + len(said) + 7))
+                    text += said + "<|end|>\n"
+                mask = ",".join(f"{a}-{b}" for a, b in spans)
+                n = len(order[at : at + part_messages])
+                out.add((conv, at // part_messages, speaker, text, mask, n, sum(b - a for a, b in spans)))
+    return out
+
+
+def whole(spark, rows, part_messages=1024):
+    got = chat.rotate_dialogues(spark.createDataFrame(rows, SCHEMA), part_messages=part_messages).collect()
+    assert len(got) == len({(r["conv_id"], r["part"], r["speaker"]) for r in got})
+    return {tuple(r) for r in got}
+
+
+def test_every_participant_gets_the_whole_dialogue(spark):
+    """ann falls silent after the first third; the last third is system and unknown voices only."""
+    late = ["system", None, " "]
+    rows = [(1, 0, "system", "rules", "x", 1)]
+    rows += [(1, n, ("ann", "bob")[n % 2] if n < 1000 else "bob" if n < 2000 else late[n % 3], f"t{n}", "x", 1) for n in range(1, 3000)]
+    rows += [(1, None, "eve", "when?", "x", 1), (1, 10**12, "bob", "late", "x", 1)]
+    got = whole(spark, rows)
+    assert got == plain_whole(rows, 1024)
+    assert {(r[1], r[2]) for r in got} == {(p, s) for p in range(3) for s in ("ann", "bob", "eve")}
+
+
+def test_registered_query_gives_whole_dialogues(spark, tmp_path):
+    rows = [(1, n, "ann" if n < 1024 else "bob", str(n), "x", 1) for n in range(2000)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op4_chat_formatting(spark, str(tmp_path)).collect()
+    assert {r["speaker"]: 0 for r in got} == {"ann": 0, "bob": 0} and sum(r["n_messages"] for r in got) == 4000
+
+
+def test_whole_dialogues_have_no_python(spark):
+    rows = ROWS + [(5, n, "ab"[n % 2], str(n), "x", 1) for n in range(30)]
+    for size in (10, 1024):
+        df = chat.rotate_dialogues(spark.createDataFrame(rows, SCHEMA), part_messages=size)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert chat.rotate_dialogues(spark.createDataFrame([], SCHEMA)).count() == 0
