@@ -17,6 +17,8 @@ START, END = "<|start|>", "<|end|>"
 PART_TURNS = 1024
 #: Messages of one rendering of ``rotate_dialogues``.
 PART_MESSAGES = 1024
+#: Characters of a text by which tied messages are dealt out; all of it orders them.
+DEALT_CHARS = 256
 
 
 def rotate_dialogues(
@@ -34,7 +36,10 @@ def rotate_dialogues(
       each message once. A system message stands in its place and is not repeated in later parts.
     - Only a conversation without any participant gives no row.
 
-    Longer conversations are numbered in one task each. The
+    A conversation of at most ``part_messages`` rows is one group. Longer ones are ordered by range
+    over all tasks and numbered from counts per task, so a dialogue of a third of all rows, with
+    null or tied turns too, becomes many tasks and groups. Messages that share turn, role and
+    their first ``DEALT_CHARS`` characters are sorted in one task, which spills. The
     result holds participants times messages, which is what a view for each of them means.
     """
     said = _messages(turns)
@@ -73,8 +78,16 @@ def _in_order() -> Column:
 
 def _numbered(messages: DataFrame) -> DataFrame:
     """Distinct messages with their ``number`` in their conversation, from 0."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return messages.withColumn("number", F.row_number().over(order) - 1)
+    dealt = messages.repartitionByRange("conv_id", "turn", "role", F.left("text", F.lit(DEALT_CHARS)))
+    placed = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
+    # Stored, as another run could cut the ranges elsewhere.
+    placed = materialise(placed.withColumn("at", F.monotonically_increasing_id()), "dialogues")
+    placed = placed.withColumn("range", F.shiftright("at", 33))
+    ranges = placed.groupBy("conv_id", "range").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    shifts = ranges.select("conv_id", "range", (before - F.col("first")).alias("shift"))
+    return placed.join(shifts, ["conv_id", "range"]).withColumn("number", F.col("at") + F.col("shift"))
 
 
 def rotate(turns: DataFrame, system_role: str = "system", part_turns: int = PART_TURNS) -> DataFrame:

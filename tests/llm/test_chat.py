@@ -110,6 +110,16 @@ def test_every_participant_gets_the_whole_dialogue(spark):
     assert {(r[1], r[2]) for r in got} == {(p, s) for p in range(3) for s in ("ann", "bob", "eve")}
 
 
+def test_parts_are_bounded_in_messages(spark):
+    """One dialogue of null turns, one of a single turn, beside short ones and repeated rows."""
+    rows = [(7, None, f"s{n % 3}", f"null {n}", "x", 1) for n in range(500)]
+    rows += [(8, 4, f"s{n % 2}", "same start " * 30 + str(n), "x", 1) for n in range(500)]
+    rows += [(9, n, "ab"[n % 2], "again", "x", copy) for n in range(3) for copy in range(20)] + ROWS
+    for size in (1, 10, 64):
+        assert whole(spark, rows, size) == plain_whole(rows, size)
+    assert max(r[5] for r in whole(spark, rows, 64)) == 64
+
+
 def test_registered_query_gives_whole_dialogues(spark, tmp_path):
     rows = [(1, n, "ann" if n < 1024 else "bob", str(n), "x", 1) for n in range(2000)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
