@@ -44,6 +44,8 @@ def link_embeddings(
     - Exact copies are folded into one class first, with partial aggregates, so a vector
       that makes up a third of the table costs as much as one; repeated rows count as
       links of each other.
+    - Rows that share an id but not label and vector are rows of their own: each has its own links
+      and component, and a shared id links nothing.
     - An empty table gives an empty result.
 
     Work is quadratic in the number of distinct vectors of a label, which is what
@@ -61,30 +63,33 @@ def link_embeddings(
     rows = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
     usable_rows = rows.filter("ok").select("i", "g", "x")
 
-    classes = materialise(
-        usable_rows.groupBy("g", "x").agg(F.min("i").alias("rep"), F.count(F.lit(1)).alias("n")), "classes"
-    )
+    grouped = usable_rows.groupBy("g", "x").agg(F.min("i").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # Classes of one id differ in their key, which is stored so that it stays.
+    classes = materialise(grouped.withColumn("c", F.monotonically_increasing_id()), "classes")
     sizes = classes.groupBy("g", F.size("x").alias("d")).agg(F.count(F.lit(1)).alias("m"))
     tiled = classes.withColumn("d", F.size("x")).join(sizes, ["g", "d"])
     tiles = F.ceil(F.col("m") / F.lit(tile_rows)).cast("int")
-    tiled = tiled.withColumn("tiles", tiles).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    tiled = tiled.withColumn("tiles", tiles).withColumn("t", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
     pairs = tiled.select(
-        "g", "d", "t", "rep", "n", "x", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o")
+        "g", "d", "t", "rep", "c", "n", "x", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o")
     )
     pairs = pairs.select(
-        "g", "d", "t", "rep", "n", "x", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi")
+        "g", "d", "t", "rep", "c", "n", "x", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi")
     )
 
     def compare(key, tile: pd.DataFrame) -> pd.DataFrame:
         return compare_tiles(tile, int(key[2]), int(key[3]), threshold)
 
-    found = pairs.groupBy("g", "d", "lo", "hi").applyInPandas(compare, "rep long, links long, low long")
+    found = pairs.groupBy("g", "d", "lo", "hi").applyInPandas(compare, "rep long, c long, links long, low long, low_c long")
     found = materialise(found, "tile-links")
-    totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("low < rep").select("rep", "low"))
-
-    summary = classes.select("g", "x", "rep", "n").join(totals, "rep", "left")
-    summary = summary.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+    totals = found.groupBy("c").agg(F.sum("links").alias("links"))
+    node = F.struct(F.col("rep").alias("i"), "c").alias("node")
+    low = F.struct(F.col("low").alias("i"), F.col("low_c").alias("c")).alias("low")
+    roots = components(found.filter("low_c <> c").select(node, low))
+    roots = roots.select(F.col("node.c").alias("c"), F.col("root.i").alias("root"))
+
+    summary = classes.select("g", "x", "rep", "c", "n").join(totals, "c", "left")
+    summary = summary.join(roots, "c", "left").select(
         "g",
         "x",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
@@ -138,18 +143,18 @@ def close_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> Iterator[tupl
 
 def compare_tiles(tile: pd.DataFrame, lo: int, hi: int, threshold: float) -> pd.DataFrame:
     """Links of each vector across one tile pair, and a forest that spans them."""
-    left = tile[tile["t"] == lo].sort_values("rep")
-    right = left if lo == hi else tile[tile["t"] == hi].sort_values("rep")
+    left = tile[tile["t"] == lo].sort_values(["rep", "c"])
+    right = left if lo == hi else tile[tile["t"] == hi].sort_values(["rep", "c"])
     if left.empty or right.empty:
-        return pd.DataFrame({"rep": [], "links": [], "low": []}).astype("int64")
+        return pd.DataFrame({"rep": [], "c": [], "links": [], "low": [], "low_c": []}).astype("int64")
     x = np.stack(left["x"].to_numpy()).astype(np.float64)
     y = x if lo == hi else np.stack(right["x"].to_numpy()).astype(np.float64)
-    ids = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()]) if lo != hi else left["rep"].to_numpy()
-    weight = np.concatenate([left["n"].to_numpy(), right["n"].to_numpy()]) if lo != hi else left["n"].to_numpy()
+    both = left if lo == hi else pd.concat([left, right])
+    ids, keys, weight = (both[name].to_numpy() for name in ("rep", "c", "n"))
     shift = len(left) if lo != hi else 0
     links = np.zeros(len(ids), dtype=np.int64)
     heads, tails = [], []
-    order = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # small place, small id
+    order = np.argsort(np.lexsort((keys, ids)), kind="stable")  # small place, small id, small key
     place = order.copy()
     for i, j in close_pairs(x, y, threshold):
         if lo == hi:
@@ -164,10 +169,10 @@ def compare_tiles(tile: pd.DataFrame, lo: int, hi: int, threshold: float) -> pd.
         np.minimum.at(place, j, order[i])
         heads.append(i)
         tails.append(j)
-    low = np.empty(len(ids), dtype=np.int64)
-    low[order] = ids
-    place = _settle(place, order, heads, tails)
-    out = pd.DataFrame({"rep": ids, "links": links, "low": low[place]})
+    sorted_ = np.empty(len(ids), dtype=np.int64)
+    sorted_[order] = np.arange(len(ids))
+    low = sorted_[_settle(place, order, heads, tails)]
+    out = pd.DataFrame({"rep": ids, "c": keys, "links": links, "low": ids[low], "low_c": keys[low]})
     return out[out["links"] > 0]
 
 

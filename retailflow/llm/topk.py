@@ -33,20 +33,19 @@ EXACT = 2.0**53
 def integer_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", factor: int = 256
 ) -> DataFrame:
-    """``(i, x)``: floor(factor * component) of every usable vector, one row per id.
+    """``(i, x)``: floor(factor * component) of every usable vector.
 
     Vectors without id, null, empty, or with null or non-finite components take no
-    part. Of repeated rows of an id the smallest vector stays.
+    part. Rows of equal id and vector count once; different vectors of an id all stay.
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("i"), F.col(vector_col).cast("array<double>").alias("x")
     )
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = F.col("i").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & F.coalesce(finite, F.lit(False))
-    whole = rows.filter(usable).select(
+    return rows.filter(usable).distinct().select(
         "i", F.transform("x", lambda v: F.floor(v * F.lit(float(factor))).cast("double")).alias("x")
     )
-    return whole.groupBy("i").agg(F.min("x").alias("x"))
 
 
 def top_k(
@@ -60,27 +59,30 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` best rows by integer inner product for each id divisible by ``every``.
 
-    Returns ``query_id, rank, vec_id, score``: every row but the query's own is a
+    Returns ``query_id, rank, vec_id, score``: every row but those of the query's own id is a
     candidate, ties go to the smaller id, a query with fewer than ``k`` candidates
-    gets all. See ``integer_vectors`` for rows that take no part; vectors of another
+    gets all. An id with several vectors is scored with each, as candidate and as
+    query, and a query's ``k`` rows are the best over all its vectors. See ``integer_vectors`` for rows that take no part; vectors of another
     length than the query's are not scored. An empty table gives an empty result.
 
     The candidate blocks never move: a pass broadcasts at most ``pass_queries``
     queries (and ``PASS_BYTES``) and reads the blocks once per round. A block sends
     back at most ``k`` counts, and in the end at most ``k`` rows above and ``k`` rows
     level with the kth score, for each query. Every pass appends its result to one stored
-    table, so the plan stays the same however many passes there are.
+    table, so the plan stays the same however many passes there are; a last ranking joins
+    the vectors of a query.
     """
     spark = vectors.sparkSession
-    whole = materialise(integer_vectors(vectors, id_col, vector_col, factor), "integers")
+    keyed = integer_vectors(vectors, id_col, vector_col, factor).withColumn("row", F.monotonically_increasing_id())
+    whole = materialise(keyed, "integers")
     blocks = materialise(
-        whole.mapInPandas(pack, "ids binary, values binary, d int, longest double"), "blocks"
+        whole.select("i", "x").mapInPandas(pack, "ids binary, values binary, d int, longest double"), "blocks"
     )
     bounds = blocks.groupBy("d").agg(F.max("longest").alias("longest")).collect()
     longest = {r["d"]: r["longest"] for r in bounds}
     queries = whole.filter(F.pmod("i", F.lit(every)) == 0)
     done = scratch_path(spark, "llm-top-k")
-    schema = "query_id long, rank int, vec_id long, score long"
+    schema = "query_id long, vec_id long, score long"
     spark.createDataFrame([], schema).write.parquet(done)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     for d, top in sorted(longest.items()):
@@ -88,14 +90,15 @@ def top_k(
         per_pass = max(1, min(pass_queries, PASS_BYTES // (8 * d)))
         n = same.count()
         passes = -(-n // per_pass)
-        # A pass takes the ids of one hash class, cut again should the class be uneven.
+        # A pass takes the rows of one hash class, cut again should the class be uneven.
         for p in range(passes):
-            mine = same.filter(F.pmod(F.xxhash64("i"), F.lit(passes)) == p)
+            mine = same.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == p)
             for ids, values in _query_groups(mine, per_pass):
                 near = _search(spark, blocks.filter(F.col("d") == d), ids, values, top, k)
-                ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-                ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(done)
-    return spark.read.schema(schema).parquet(done)
+                best = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+                best.select("query_id", "vec_id", "score").write.mode("append").parquet(done)
+    ranked = spark.read.schema(schema).parquet(done).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,14 +126,14 @@ def _query_groups(queries: DataFrame, per_pass: int) -> Iterator[tuple[np.ndarra
     """Vectors of one hash class, in groups of at most ``per_pass``."""
     after = None
     while True:
-        rest = queries if after is None else queries.filter(F.col("i") > after)
-        rows = rest.orderBy("i").limit(per_pass).collect()
+        rest = queries if after is None else queries.filter(F.col("row") > after)
+        rows = rest.orderBy("row").limit(per_pass).collect()
         if not rows:
             return
         yield np.array([r["i"] for r in rows], dtype=np.int64), np.array([r["x"] for r in rows])
         if len(rows) < per_pass:
             return
-        after = rows[-1]["i"]
+        after = rows[-1]["row"]
 
 
 def _search(spark, blocks: DataFrame, ids: np.ndarray, values: np.ndarray, longest: float, k: int) -> DataFrame:
@@ -175,17 +178,17 @@ def score_blocks(
 ) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
     """Ids, a slice of the queries, and scores (query by row) of every block.
 
-    The own row of a query scores lowest.
+    Rows of a query's own id score lowest.
     """
     for own, packed, d in zip(batch["ids"], batch["values"], batch["d"]):
         own = np.frombuffer(own, dtype=np.int64)
         rows = np.frombuffer(packed).reshape(-1, d).T
-        at = np.searchsorted(own, ids)
-        hit = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == ids)
+        at, end = np.searchsorted(own, ids), np.searchsorted(own, ids, side="right")
         for first in range(0, len(ids), SCORED_QUERIES):
             part = slice(first, first + SCORED_QUERIES)
             scores = np.rint(values[part] @ rows).astype(np.int64)
-            scores[np.nonzero(hit[part])[0], at[part][hit[part]]] = np.iinfo(np.int64).min
+            for q in np.nonzero(at[part] < end[part])[0]:
+                scores[q, at[part][q] : end[part][q]] = np.iinfo(np.int64).min
             yield own, part, scores
 
 

@@ -120,3 +120,35 @@ def test_few_and_no_rows(spark):
     assert sorted(tuple(r) for r in topk.top_k(df).collect()) == brute_top(rows, 5, 50)
     assert topk.top_k(df.limit(0)).count() == 0
     assert embed_dedup.link_embeddings(df.limit(0)).count() == 0
+
+
+def shared_ids(seed=6, n=90, d=16):
+    """Rows of which many share an id, with other vectors and labels."""
+    rows = vectors(seed, n, d)
+    return [(r[0] % 40 * 10 + 10, *r[1:]) for r in rows] + [(10, *r[1:]) for r in rows[:20]]
+
+
+@pytest.mark.parametrize("tile_rows", [2048, 20])
+def test_links_of_shared_ids(spark, tile_rows):
+    rows = shared_ids()
+    got = embed_dedup.link_embeddings(spark.createDataFrame(rows, SCHEMA), tile_rows=tile_rows).collect()
+    assert sorted(tuple(r) for r in got) == brute_links(rows)
+
+
+def brute_pairs(rows, k, every):
+    """The best pairs of each query id, over all its vectors."""
+    distinct = sorted({(i, tuple(x)) for i, x, *_ in rows})
+    whole = [(i, [math.floor(256 * c) for c in x]) for i, x in distinct]
+    near = {}
+    for q, x in whole:
+        if q % every == 0:
+            near.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y)), i) for i, y in whole if i != q)
+    return sorted((q, n + 1, i, -s) for q, pairs in near.items() for n, (s, i) in enumerate(sorted(pairs)[:k]))
+
+
+@pytest.mark.parametrize("block,group", [(2048, 8192), (7, 3)])
+def test_top_k_of_shared_ids(spark, monkeypatch, block, group):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+    rows = shared_ids()
+    got = topk.top_k(spark.createDataFrame(rows, SCHEMA), k=5, every=50, pass_queries=group).collect()
+    assert sorted(tuple(r) for r in got) == brute_pairs(rows, 5, 50)
