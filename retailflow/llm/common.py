@@ -39,14 +39,16 @@ def fold(doc_id: Column, modulus: int) -> Column:
 def texts_of(docs: DataFrame, chosen: list[tuple], kind: str, text: str = "text") -> list[tuple]:
     """``(text, y)`` of the chosen ``(id, y)``, in the order of the id's hash.
 
-    One scan; only the chosen texts leave it. A repeated id gives its smallest text.
+    One scan; a repeated id gives its smallest text, chosen with partial aggregates, so that
+    one text for each id is all that reaches the driver.
     """
     if not chosen:
         return []
     spark = docs.sparkSession
     ids = spark.createDataFrame(chosen, f"i long, y {kind}")
     texts = docs.select(F.col("doc_id").alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
-    found = texts.join(F.broadcast(ids), "i").select(F.xxhash64("i").alias("h"), "i", "t", "y").collect()
+    found = texts.join(F.broadcast(ids), "i").groupBy("i", "y").agg(F.min("t").alias("t"))
+    found = found.select(F.xxhash64("i").alias("h"), "i", "t", "y").collect()
     first: dict = {}
     for r in sorted(found, key=lambda r: (r["h"], r["i"], str(r["y"]), r["t"])):
         first.setdefault((r["i"], r["y"]), (r["t"], r["y"]))

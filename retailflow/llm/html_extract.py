@@ -377,13 +377,16 @@ def built_pages(count: int = BUILT_PAGES, seed: int = 11) -> list[str]:
 
 
 def train(pages: DataFrame) -> TreeModel:
-    """Fit on built pages and on at most ``MARKED_PAGES`` pages that mark their article, by id hash."""
+    """Fit on built pages and on at most ``MARKED_PAGES`` pages that mark their article, by id hash.
+
+    A repeated id gives its smallest page.
+    """
     rows = pages.select(F.col("page_id").alias("i"), F.col("html").alias("h")).filter(
         F.col("h").rlike("(?i)<(article|main)\\b")
     )
     ids = rows.select("i").distinct().orderBy(F.xxhash64("i"), "i").limit(MARKED_PAGES)
     picked = pages.sparkSession.createDataFrame([(r["i"],) for r in ids.collect() if r["i"] is not None], "i long")
-    found = rows.join(F.broadcast(picked), "i").collect()
+    found = rows.join(F.broadcast(picked), "i").groupBy("i").agg(F.min("h").alias("h")).collect()
     marked = [mark_article(r["h"]) for r in sorted(found, key=lambda r: (r["i"], r["h"]))]
     return TreeModel(built_pages() + [m for m in marked if m])
 
