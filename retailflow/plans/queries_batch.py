@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retailflow.functions.text import pg_initcap, split_words, words
-from retailflow.functions.time import month_text, next_day
+from retailflow.functions.time import month_text
 from retailflow.model import ORDER_ITEMS, ORDER_REVIEWS, ORDERS, WAREHOUSE_KEYS
 from retailflow.operators import aggregates as agg
 from retailflow.operators import joins, lifecycle, slices
@@ -263,10 +263,9 @@ def orders_outside_year(spark, d):
     count(*) AS n FROM orders GROUP BY 1, 2""",
 )
 def next_cursor_days(spark, d):
-    day = F.date_format(PURCHASED, "yyyy-MM-dd").alias("cursor")
-    days = src.orders(spark, d).groupBy(day).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per day
-    rows = [(r["cursor"], next_day(r["cursor"]), r["n"]) for r in days]
-    return spark.createDataFrame(rows, "cursor string, next_cursor string, n bigint")
+    days = src.orders(spark, d).groupBy(F.to_date(PURCHASED).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    cursor = F.date_format("day", "yyyy-MM-dd").alias("cursor")
+    return days.select(cursor, F.date_format(F.date_add("day", 1), "yyyy-MM-dd").alias("next_cursor"), "n")
 
 
 # --- joins -------------------------------------------------------------------

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from retailflow.plans import queries_batch, queries_streams
 from retailflow.streaming import decode, sinks
 from retailflow.streaming.sources import kafka_options, read_change_stream
 from tests.conftest import rows
@@ -156,3 +157,19 @@ def test_rejected_rows_are_released_when_a_writer_fails(spark):
     with pytest.raises(RuntimeError):
         sinks.upsert_sink(["k"], ["at"], fail, rejected=fail)(df, 0)
     assert not df.is_cached
+
+
+def test_row_counts_beyond_the_kept_reports(spark, sf_dir):
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "1")
+    try:
+        got = dict(rows(queries_streams.stream_row_counts(spark, sf_dir)))
+    finally:
+        spark.conf.unset(kept)
+    assert got == {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("orders", "events")}
+
+
+def test_next_cursor_of_a_null_time(spark, monkeypatch):
+    orders = spark.sql("SELECT timestamp '1996-02-28 23:59:59' AS order_purchase_timestamp UNION ALL SELECT null")
+    monkeypatch.setattr(queries_batch.src, "orders", lambda spark, d: orders)
+    assert rows(queries_batch.next_cursor_days(spark, "")) == [("1996-02-28", "1996-02-29", 1), (None, None, 1)]
