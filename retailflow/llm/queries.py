@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, chat, embed_dedup, html_extract, langid, packing, quality, simhash, topk, toxicity
+from retailflow.llm import bpe, chat, embed_dedup, html_extract, langid, packing, quality, runs, simhash, topk, toxicity
 from retailflow.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(quality.score_documents(docs, model), 5, 0, "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the periodic runs of every document, every tenth with a periodic tail."""
+    docs = read(spark, sf_dir, "documents")
+    found = runs.run_documents(docs.select("doc_id", runs.plant_period(F.col("text"), F.col("doc_id")).alias("text")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    first = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"]))
+    best = found.withColumn("best", F.array_max(first))
+    best = best.withColumn("best", F.struct(F.col("best.length"), (-F.col("best.col2")).alias("start"), (-F.col("best.col3")).alias("period")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -95,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
