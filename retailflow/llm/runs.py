@@ -235,21 +235,6 @@ def collapse(words: list[bytes], runs: list[Run]) -> bytes:
     return b" ".join([words[n] for n in np.flatnonzero(kept).tolist()])
 
 
-def periodic_runs(text: Column, least_words: int = MIN_WORDS, repeats: int = MIN_REPEATS) -> Column:
-    """Struct ``n_words, runs, collapsed`` of a text; see ``run_documents``."""
-
-    @F.pandas_udf("n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        # bytes.split cuts at the six ASCII white-space characters and no others.
-        words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        runs = find_runs(words, least_words, repeats)
-        rows = [[{"start": s, "length": n, "period": p} for s, n, p in r] for r in runs]
-        texts_ = [collapse(w, r).decode("utf-8", "surrogatepass") for w, r in zip(words, runs)]
-        return pd.DataFrame({"n_words": [len(w) for w in words], "runs": rows, "collapsed": texts_})
-
-    return run(text)
-
-
 def run_documents(
     docs: DataFrame,
     least_words: int = MIN_WORDS,
@@ -269,8 +254,28 @@ def run_documents(
     an empty result.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    return rows.select(F.col("i").alias(id_col), periodic_runs(F.col("t"), least_words, repeats).alias("r")).select(id_col, "r.*")
+    # Ids travel as text: pandas turns a column of longs with nulls into doubles.
+    rows = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # bytes.split cuts at the six ASCII white-space characters and no others.
+            words = [(t or "").encode("utf-8", "surrogatepass").split() for t in batch["t"]]
+            runs = find_runs(words, least_words, repeats)
+            yield pd.DataFrame(
+                {
+                    "i": batch["i"],
+                    "n_words": [len(w) for w in words],
+                    "runs": [[{"start": s, "length": n, "period": p} for s, n, p in r] for r in runs],
+                    "collapsed": [collapse(w, r).decode("utf-8", "surrogatepass") for w, r in zip(words, runs)],
+                }
+            )
+
+    found = rows.mapInPandas(
+        search, "i string, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
+    )
+    kind = docs.schema[id_col].dataType
+    return found.select(F.col("i").cast(kind).alias(id_col), "n_words", "runs", "collapsed")
 
 
 def plant_period(text: Column, doc_id: Column) -> Column:

@@ -100,7 +100,7 @@ def test_very_long_texts():
 
 def rows_of(spark):
     rng = random.Random(9)
-    out = [(None, "a a a a a a a"), (None, None), (3, None), (4, ""), (5, " \t\n\x0b\x0c\r "), (6, "é é x\x0cx\rx x x x")]
+    out = [(2**62 + 1, "x y"), (None, "a a a a a a a"), (None, None), (3, None), (4, ""), (5, " \t\n\x0b\x0c\r "), (6, "é é x\x0cx\rx x x x")]
     out += [(n, " ".join(random_words(rng, rng.randint(0, 80)))) for n in range(10, 130)]
     out += [(n, " ".join(str(rng.randint(0, 9999)) for _ in range(rng.randint(1, 200)))) for n in range(200, 320)]
     out += [(n, "  lead\n" + "one two  three\tfour " * rng.randint(1, 9)) for n in range(400, 430)]
