@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, chat, embed_dedup, html_extract, langid, packing, quality, runs, simhash, topk, toxicity
+from retailflow.llm import (
+    bpe,
+    chat,
+    embed_dedup,
+    html_extract,
+    langid,
+    packing,
+    quality,
+    runs,
+    simhash,
+    spelling,
+    topk,
+    toxicity,
+)
 from retailflow.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +117,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, some with a letter dropped, and the forms that they vary."""
+    groups = spelling.variant_groups(read(spark, sf_dir, "documents"), drop_every=97)
+    return groups.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -116,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
