@@ -13,6 +13,7 @@ from retailflow.llm import (
     chat,
     embed_dedup,
     html_extract,
+    id_files,
     langid,
     packing,
     quality,
@@ -23,6 +24,7 @@ from retailflow.llm import (
     toxicity,
 )
 from retailflow.llm.common import fold, read
+from retailflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +119,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, from the compressed files that hold them."""
+    folder = scratch_path(spark, "llm-token-files")
+    id_files.write_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=2)
+    return id_files.read_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents, some with a letter dropped, and the forms that they vary."""
     groups = spelling.variant_groups(read(spark, sf_dir, "documents"), drop_every=97)
@@ -135,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
