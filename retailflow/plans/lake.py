@@ -40,12 +40,15 @@ class Lake:
     """A root folder with ``lakehouse``, ``warehouse``, ``landing`` and ``metrics``.
 
     Tables are partitioned by day; where days are small, ``partition_by`` may be
-    year and month only, and the day is then a plain column.
+    year and month only, and the day is then a plain column. With ``index_buckets`` each
+    table has a key index of so many buckets: for tables whose key columns are long
+    compared with a day, since an index costs a few small jobs a load.
     """
 
     root: str
     partition_by: tuple[str, ...] = tuple(DATE_PARTS)
     first_day: str = FIRST_DAY
+    index_buckets: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.root}/lakehouse/{name}"
@@ -126,7 +129,12 @@ def load_rows(
         merged = 0
         if ingest and not rows.isEmpty():
             merged = merge_into_path(
-                rows, lake.table(spec.name), spec.keys, spec.update, list(lake.partition_by)
+                rows,
+                lake.table(spec.name),
+                spec.keys,
+                spec.update,
+                list(lake.partition_by),
+                index_buckets=lake.index_buckets,
             )
     finally:
         rows.unpersist()
@@ -199,7 +207,9 @@ def warehouse_day(
         merge_rows(rows.drop(*DATE_PARTS), name, keys)
     else:
         update = None if insert_only_items and name == "order_items" else "*"
-        merge_into_path(rows, lake.warehouse(name), keys, update, list(lake.partition_by))
+        merge_into_path(
+            rows, lake.warehouse(name), keys, update, list(lake.partition_by), index_buckets=lake.index_buckets
+        )
     return True
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from retailflow.functions.time import next_day
@@ -14,6 +17,7 @@ from retailflow.plans.catalogue import query
 from retailflow.plans.queries_batch import DAY, PURCHASED
 from retailflow.plans.queries_files import DAY_PARTS
 from retailflow.session import scratch_name, scratch_path
+from retailflow.sinks.keyindex import open_index
 from retailflow.sinks.tables import create_table_ddl, merge_into_path, path_exists
 from retailflow.sources import sample_tables as src
 
@@ -127,6 +131,39 @@ def merge_moved_partition(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "merge_by_key_index",
+    f"""WITH {sql.ORDERS}, m AS (SELECT * REPLACE (
+        CASE WHEN order_id % 14 = 7 THEN order_purchase_timestamp + INTERVAL 400 DAY ELSE order_purchase_timestamp END
+          AS order_purchase_timestamp,
+        CASE WHEN order_id % 7 = 0 THEN 'moved' ELSE order_status END AS order_status) FROM o)
+    SELECT {sql.ORDER_COLUMNS}, CAST(year(order_purchase_timestamp) AS INTEGER) AS year,
+      CAST(month(order_purchase_timestamp) AS INTEGER) AS month, TRUE AS indexed,
+      (SELECT count(DISTINCT order_id) FROM o) AS index_pairs FROM m""",
+)
+def merge_by_key_index(spark, d):
+    """Orders move to another month and half of them back; an index tells the partitions of a batch's keys.
+
+    ``indexed`` says that a row's key and partition are in the index, ``index_pairs`` counts its entries.
+    """
+    path, parts = scratch_path(spark, "indexed"), ["year", "month"]
+    orders = add_date_parts(src.orders(spark, d), PURCHASED).drop("day")
+    merge_into_path(orders, path, ["order_id"], "*", parts, index_buckets=8)
+    moved = orders.filter(F.col("order_id") % 7 == 0).withColumn("order_status", F.lit("moved")).drop(*parts)
+    late = moved.withColumn(PURCHASED, F.col(PURCHASED) + F.expr("INTERVAL 400 DAY"))
+    for batch in (late, moved.filter(F.col("order_id") % 14 == 0)):
+        merge_into_path(add_date_parts(batch, PURCHASED).drop("day"), path, ["order_id"], "*", parts)
+    table = spark.read.parquet(path)
+    index = open_index(spark, path, ["order_id"], parts)
+    if index is None:
+        return table.withColumns({"indexed": F.lit(True), "index_pairs": F.lit(0).cast("long")})
+    pairs = index.entries()
+    named = pairs.select(*[F.col(c).alias(f"__{c}") for c in pairs.columns], F.lit(True).alias("indexed"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in pairs.columns])
+    found = table.join(named, same, "left").withColumn("indexed", F.coalesce("indexed", F.lit(False)))
+    return found.select(*table.columns, "indexed", F.lit(pairs.count()).alias("index_pairs"))
+
+
 @query(
     "merge_null_partition",
     f"""WITH {sql.ORDERS}, m AS (

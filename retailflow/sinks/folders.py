@@ -7,9 +7,13 @@ places, by renames. A write that fails leaves the old files as they were.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+#: Renames under way at once.
+MOVES = 16
+
 
 class Folders:
     """The file system that holds ``root``."""
@@ -31,6 +35,13 @@ class Folders:
         if not self._fs.rename(self._path(source), to):
             raise OSError(f"cannot move {source} to {target}")
 
+    def names(self, path: str) -> list[str]:
+        """Names of what a folder holds; none if there is no such folder."""
+        place = self._path(path)
+        if not self._fs.exists(place):
+            return []
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(place))
+
     def leaves(self, root: str, below: str = "") -> list[str]:
         """Partition folders ``a=1/b=2`` below ``root`` that hold files."""
         found, files = [], False
@@ -76,14 +87,16 @@ def replace_partitions(spark: SparkSession, staged: str, path: str, old: list[st
     """
     folders = Folders(spark, path)
     aside = fresh(path, "replaced")
-    moved = []
+    moved: list[tuple[str, str]] = []
+
+    def move(pair: tuple[str, str]) -> None:
+        folders.move(*pair)
+        moved.append(pair)
+
     try:
-        for part in old:
-            folders.move(f"{path}/{part}", f"{aside}/{part}")
-            moved.append((f"{path}/{part}", f"{aside}/{part}"))
-        for part in folders.leaves(staged):
-            folders.move(f"{staged}/{part}", f"{path}/{part}")
-            moved.append((f"{staged}/{part}", f"{path}/{part}"))
+        with ThreadPoolExecutor(max_workers=MOVES) as pool:
+            list(pool.map(move, [(f"{path}/{part}", f"{aside}/{part}") for part in old]))
+            list(pool.map(move, [(f"{staged}/{part}", f"{path}/{part}") for part in folders.leaves(staged)]))
     except Exception:
         for origin, place in reversed(moved):
             folders.move(place, origin)

@@ -7,16 +7,15 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from retailflow.operators.merge import merge, merge_sql
 from retailflow.session import broadcast_if_small
 from retailflow.sinks.folders import Folders, fresh, replace_folder, replace_partitions
+from retailflow.sinks.keyindex import KeyIndex, open_index
 
 # Conditions under which a path holds no table: it is missing, or holds no file.
 NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -136,14 +135,19 @@ def merge_into_path(
     update: str | list[str] | None,
     partition_by: list[str],
     keys_stay: bool = False,
+    index_buckets: int | None = None,
 ) -> int:
     """Merge into a partitioned Parquet table, rewriting only touched partitions.
 
     Returns the number of source rows. Touched are the partitions that the source
-    names and those that hold its keys now, found from the key columns of the table:
-    a row whose partition columns change moves, and its old partition is rewritten
-    or goes. ``keys_stay`` is the caller's promise that no key ever moves; then only the
-    partitions that the source names are read. Partition columns may be null.
+    names and those that hold its keys now: a row whose partition columns change moves, and
+    its old partition is rewritten or goes. ``keys_stay`` is the caller's promise that no key
+    ever moves; then only the partitions that the source names are read. Partition
+    columns may be null. The target is read by its touched folders alone.
+
+    Where the keys are is found from the key columns of the table or, with ``index_buckets``,
+    from a key index of so many buckets beside it (see ``KeyIndex``), which is built when
+    missing. An index that exists is used and kept up to date by every merge.
 
     The new partitions are staged as a whole before any old file is replaced, so a
     failed merge leaves the table as it was. The swap itself is one rename per
@@ -153,33 +157,59 @@ def merge_into_path(
     """
     spark = source.sparkSession
     rows = source.count()
-    if not path_exists(spark, path):
+    index = open_index(spark, path, keys, partition_by, source.schema)
+    if index is None and not path_exists(spark, path):
         staged = f"{path}_staged-{uuid.uuid4().hex}"
-        write_table(source, staged, partition_by)
+        if rows:
+            write_table(source, staged, partition_by)
+        else:
+            # One file without rows keeps the columns; partitions take its place later.
+            write_table(spark.createDataFrame([], source.schema), staged)
         replace_folder(spark, staged, path)
+        if index_buckets and rows:
+            KeyIndex(spark, path, keys, partition_by, index_buckets, source.schema).build(source)
         return rows
-    table = spark.read.parquet(path)
+    if not rows:
+        return 0
     kinds = {f.name: f.dataType for f in source.schema.fields}
-    table = table.withColumns({c: F.col(c).cast(kinds[c]) for c in partition_by})
+    if index is None and index_buckets:
+        table = spark.read.parquet(path).withColumns({c: F.col(c).cast(kinds[c]) for c in partition_by})
+        index = KeyIndex(spark, path, keys, partition_by, index_buckets, source.schema)
+        index.build(table)
     touched = source.select(*partition_by).distinct()
-    if not keys_stay:
-        known = table.select(*dict.fromkeys([*keys, *partition_by]))
-        wanted = source.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-        same = reduce(Column.__and__, [F.col(k) == F.col(f"__{k}") for k in keys])
-        held = known.join(broadcast_if_small(wanted), same, "left_semi").select(*partition_by)
-        touched = touched.unionByName(held).distinct()
-    # One row per partition: no more than the folders that the file index lists anyway.
-    listed = touched.collect()
-    target = _touched(table, listed, source.select(*partition_by).schema)
-    old = target.select(F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("f"))
-    folders = sorted(_below(unquote(r["f"]), path) for r in old.distinct().collect())
-    staged = fresh(path, "staged")
+    work = fresh(path, "work")
     try:
+        if index:
+            wanted = index.wanted(source)
+            index.look_up(wanted).write.parquet(f"{work}/held")
+            held = spark.read.parquet(f"{work}/held")
+            touched = touched.unionByName(held.select(*partition_by)).distinct()
+        elif not keys_stay:
+            table = spark.read.parquet(path).withColumns({c: F.col(c).cast(kinds[c]) for c in partition_by})
+            known = table.select(*dict.fromkeys([*keys, *partition_by]))
+            wanted = source.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            same = reduce(Column.__and__, [F.col(k) == F.col(f"__{k}") for k in keys])
+            found = known.join(broadcast_if_small(wanted), same, "left_semi").select(*partition_by)
+            touched = touched.unionByName(found).distinct()
+        # One row per touched partition.
+        folders = _partition_folders(touched, path)
+        target = _read_folders(source, path, folders, partition_by)
         merged = merge(target.select(*source.columns), source, keys, update)
-        write_table(merged, staged, partition_by)
-        replace_partitions(spark, staged, path, folders)
+        write_table(merged, f"{work}/new", partition_by)
+        if index:
+            new = _read_folders(source, f"{work}/new", Folders(spark, path).leaves(f"{work}/new"), partition_by)
+            index.of_keys(index.pairs(new), broadcast_if_small(wanted)).write.parquet(f"{work}/now")
+            now = spark.read.parquet(f"{work}/now")
+            came, gone = now.exceptAll(held), held.exceptAll(now)
+            if not came.isEmpty():
+                index.append(came, alive=True)
+        replace_partitions(spark, f"{work}/new", path, folders)
+        if index:
+            if not gone.isEmpty():
+                index.append(gone, alive=False)
+            index.fold()
     finally:
-        Folders(spark, path).delete(staged)
+        Folders(spark, path).delete(work)
     return rows
 
 
@@ -224,28 +254,22 @@ def replicate(
         return dict(zip(wanted, pool.map(copy, wanted)))
 
 
-def _touched(table: DataFrame, listed: list, schema: T.StructType) -> DataFrame:
-    """Rows of the listed partitions, null partitions included.
-
-    Bounds of each partition column stand as literals, which prune folders at planning
-    time; the join with the list is exact, at any number of partitions.
-    """
-    spark = table.sparkSession
-    for column in schema.names:
-        values = [r[column] for r in listed if r[column] is not None]
-        inside = F.lit(False)
-        if values:
-            inside = F.col(column).between(F.lit(min(values)), F.lit(max(values)))
-        if len(values) < len(listed):
-            inside = inside | F.col(column).isNull()
-        table = table.filter(inside)
-    named = T.StructType([T.StructField(f"__{f.name}", f.dataType) for f in schema.fields])
-    parts = F.broadcast(spark.createDataFrame(listed, named))
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in schema.names])
-    return table.join(parts, same, "left_semi")
-
-
-def _below(folder: str, path: str) -> str:
-    """The partition part of a folder of the table at ``path``."""
-    name = path.rstrip("/").split("://")[-1].removeprefix("file:")
-    return folder[folder.index(name) + len(name) :].strip("/")
+def _partition_folders(touched: DataFrame, path: str) -> list[str]:
+    """The folders of the listed partitions that exist below ``path``, named as the writer names them."""
+    spark = touched.sparkSession
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    texts = touched.select(*[F.col(c).cast("string").alias(c) for c in touched.columns]).distinct().collect()
+    wanted = {"/".join(name(c, r[c]) for c in touched.columns) for r in texts}
+    exists = Folders(spark, path).exists
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return [f for f, there in zip(sorted(wanted), pool.map(lambda f: exists(f"{path}/{f}"), sorted(wanted))) if there]
+
+
+def _read_folders(like: DataFrame, path: str, folders: list[str], partition_by: list[str]) -> DataFrame:
+    """The rows of some partition folders, by their names; no other folder is listed."""
+    spark = like.sparkSession
+    if not folders:
+        return spark.createDataFrame([], like.schema)
+    kinds = {f.name: f.dataType for f in like.schema.fields}
+    table = spark.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
+    return table.withColumns({c: F.col(c).cast(kinds[c]) for c in partition_by})

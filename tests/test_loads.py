@@ -1,6 +1,8 @@
 """Files, tables, day loads, database statements and the command line."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,9 @@ from retailflow.operators import merge as merge_module
 from retailflow.operators.merge import MergeConflict
 from retailflow.plans import bi, lake as lakes
 from retailflow.quality.checks import CheckFailed
-from retailflow.sinks import jdbc as jdbc_sink, landing
+from retailflow.sinks import jdbc as jdbc_sink, keyindex, landing
+from retailflow.sinks import tables as tables_module
+from retailflow.sinks.keyindex import open_index
 from retailflow.sinks.landing import write_csv, write_landing
 from retailflow.sinks.tables import (
     clear_target,
@@ -225,6 +229,77 @@ def test_merge_moves_rows_between_partitions(spark, tmp_path, monkeypatch, small
     assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_") and p.name != "_SUCCESS"]
 
 
+def index_pairs(spark, path):
+    index = open_index(spark, path, ["k"], ["year", "day"])
+    return rows(index.entries()), rows(index.pairs(spark.read.parquet(path)))
+
+
+def test_key_index_follows_every_merge(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "FOLD_LOADS", 1000)
+    path, parts = str(tmp_path / "t"), ["year", "day"]
+    rng = random.Random(3)
+    model = {}
+    for load in range(7):
+        names = rng.sample("abcdefghijklmnop", 6)
+        batch = {k: (f"v{load}", rng.choice([1, 2, None]), rng.randint(1, 4)) for k in names}
+        loose = [(None, f"loose{load}", 1, 1)]
+        columns = "*" if load % 3 else ["v"]
+        frame = spark.createDataFrame([(k, *v) for k, v in batch.items()] + loose, PARTS)
+        merge_into_path(frame, path, ["k"], columns, parts, index_buckets=3)
+        for k, v in batch.items():
+            model[k] = v if columns == "*" or k not in model else (v[0], *model[k][1:])
+        have, want = index_pairs(spark, path)
+        assert have == want
+        assert {r[0]: r[1:] for r in table_rows(spark, path) if r[0]} == model
+    index = open_index(spark, path, ["k"], parts)
+    assert len(index.folders.names(index.root)) > 4 and not index.fold(1000)
+    assert index.fold(2) and len(index.folders.names(index.root)) == 1
+    assert index_pairs(spark, path)[0] == index_pairs(spark, path)[1]
+    assert {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_")} <= {"_keys", "_SUCCESS"}
+
+
+def test_key_index_survives_a_stop_before_the_swap(spark, tmp_path, monkeypatch):
+    path, parts = str(tmp_path / "t"), ["year", "day"]
+    merge_into_path(spark.createDataFrame([("a", "old", 1, 1), ("b", "old", 1, 2)], PARTS), path, ["k"], "*", parts, index_buckets=2)
+    batch = spark.createDataFrame([("a", "new", 5, 5)], PARTS)
+    with monkeypatch.context() as m:
+        m.setattr(tables_module, "replace_partitions", lambda *_: 1 // 0)
+        with pytest.raises(ZeroDivisionError):
+            merge_into_path(batch, path, ["k"], "*", parts)
+    assert table_rows(spark, path) == [("a", "old", 1, 1), ("b", "old", 1, 2)]
+    merge_into_path(batch, path, ["k"], "*", parts)
+    assert table_rows(spark, path) == [("a", "new", 5, 5), ("b", "old", 1, 2)]
+    have, want = index_pairs(spark, path)
+    assert set(want) <= set(have)
+
+
+def test_merge_reads_the_files_of_touched_partitions_only(spark, tmp_path, monkeypatch):
+    path, parts = str(tmp_path / "t"), ["year", "day"]
+    first = spark.range(240).selectExpr("CAST(id AS STRING) AS k", "'a' AS v", "CAST(id % 12 AS INT) AS year", "CAST(id % 4 AS INT) AS day")
+    merge_into_path(first, path, ["k"], "*", parts, index_buckets=4)
+    read = []
+    monkeypatch.setattr(tables_module, "merge", lambda t, *a: read.append(t.inputFiles()) or merge_module.merge(t, *a))
+    batch = spark.createDataFrame([("1", "b", 11, 3), ("240", "b", 0, 0)], PARTS)
+    merge_into_path(batch, path, ["k"], "*", parts)
+    assert {"/".join(f.split("/")[-3:-1]) for f in read[0]} == {"year=0/day=0", "year=1/day=1", "year=11/day=3"}
+    index = open_index(spark, path, ["k"], parts)
+    plan = index.look_up(index.wanted(batch))._jdf.queryExecution().executedPlan().toString()
+    wanted = sorted({r["__bucket"] for r in index.wanted(batch).collect()})
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert len(wanted) <= 2 and [int(n) for n in re.findall(r"\d+", filters.split("bucket", 1)[1].split("#", 1)[1])[1:]] == wanted
+    assert index_pairs(spark, path)[0] == index_pairs(spark, path)[1]
+
+
+def test_merge_of_no_rows_keeps_the_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    nothing = spark.createDataFrame([], PARTS)
+    assert merge_into_path(nothing, path, ["k"], "*", ["year", "day"], index_buckets=2) == 0
+    assert spark.read.parquet(path).dtypes == nothing.dtypes
+    merge_into_path(spark.createDataFrame([("a", "x", 1, 1)], PARTS), path, ["k"], "*", ["year", "day"], index_buckets=2)
+    assert merge_into_path(nothing, path, ["k"], "*", ["year", "day"]) == 0
+    assert table_rows(spark, path) == [("a", "x", 1, 1)]
+
+
 def test_merge_into_very_many_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.range(300).selectExpr("CAST(id AS STRING) AS k", "'a' AS v", "1 AS year", "CAST(id AS INT) AS day")
