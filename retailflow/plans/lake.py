@@ -27,7 +27,7 @@ from retailflow.operators.slices import (
     split_valid,
 )
 from retailflow.quality.checks import CHECKS, check_summary, gate, run_checks
-from retailflow.quality.profile import profile
+from retailflow.quality.partials import refresh_partials, stored_profile
 from retailflow.quality.repository import save_metrics
 from retailflow.session import broadcast_if_small
 from retailflow.sinks.landing import write_landing
@@ -111,6 +111,7 @@ def load_rows(
 ) -> int:
     """Check rows, merge them into the lakehouse table, profile the table.
 
+    The profile is merged from one of each partition; only rewritten partitions are read for it.
     Rows must carry year, month and day. An empty batch is skipped. Returns the
     number of rows merged.
     """
@@ -126,7 +127,7 @@ def load_rows(
             result = run_checks(rows.drop(*DATE_PARTS), CHECKS[spec.name])
             save_metrics(result, lake.metrics, spec.name, "checks", day)
             gate(result, rows)
-        merged = 0
+        merged, rewritten = 0, []
         if ingest and not rows.isEmpty():
             merged = merge_into_path(
                 rows,
@@ -135,12 +136,15 @@ def load_rows(
                 spec.update,
                 list(lake.partition_by),
                 index_buckets=lake.index_buckets,
+                rewritten=rewritten,
             )
     finally:
         rows.unpersist()
     if profiled:
-        table = rows.sparkSession.read.parquet(lake.table(spec.name))
-        save_metrics(profile(table), lake.metrics, spec.name, "profiles", day)
+        spark = rows.sparkSession
+        store = f"{lake.root}/profiles/{spec.name}"
+        refresh_partials(spark, lake.table(spec.name), store, list(lake.partition_by), rewritten)
+        save_metrics(stored_profile(spark, store), lake.metrics, spec.name, "profiles", day)
     return merged
 
 

@@ -9,9 +9,11 @@ from retailflow.model import ORDER_STATUSES, PAYMENT_TYPES, REVIEW_IS_VALID
 from retailflow.operators.slices import split_valid
 from retailflow.plans import oracles as sql
 from retailflow.plans.catalogue import query
-from retailflow.quality import checks, profile
+from retailflow.quality import checks, partials, profile
 from retailflow.quality.repository import load_metrics, save_metrics
 from retailflow.session import scratch_path
+from retailflow.sinks.folders import Folders, fresh, replace_partitions
+from retailflow.sinks.tables import path_exists, write_table
 from retailflow.sources import sample_tables as src
 
 
@@ -173,10 +175,70 @@ def profile_items(spark, d):
     return _exact(profile.profile(src.order_items(spark, d), percentiles=False))
 
 
-@query("profile_approximate")
+ITEM_COLUMNS = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value")
+CLOSE = "SELECT column, TRUE AS distinct_within, TRUE AS percentiles_within FROM (VALUES {}) AS t(column)".format(
+    ", ".join(f"('{c}')" for c in ITEM_COLUMNS)
+).replace("column", '"column"')
+
+
+def _within(df, profiled, distinct_error, rank_error=0.01):
+    """Whether the sketched figures of a profile lie within their error of the exact ones.
+
+    A percentile p is within if at most p + error of the values are smaller and at least p - error not larger.
+    """
+    asked = (25, 50, 75)
+    aggs, rows = [], []
+    for i, r in enumerate(profiled.select("column", "approx_distinct", "n_non_null", "percentiles").collect()):
+        value, n = F.col(r["column"]), r["n_non_null"]
+        aggs.append(F.count_distinct(value).alias(f"d{i}"))
+        right = F.lit(True)
+        for p in asked if r["percentiles"] else ():
+            q = F.lit(r["percentiles"][p - 1])
+            aggs += [F.count_if(value.cast("double") < q).alias(f"l{i}_{p}"), F.count_if(value.cast("double") <= q).alias(f"u{i}_{p}")]
+            right = right & (F.col(f"l{i}_{p}") <= (p / 100 + rank_error) * n) & (F.col(f"u{i}_{p}") >= (p / 100 - rank_error) * n)
+        near = F.abs(F.col(f"d{i}") - r["approx_distinct"]) <= distinct_error * F.col(f"d{i}")
+        rows.append(F.struct(F.lit(r["column"]).alias("column"), near.alias("distinct_within"), right.alias("percentiles_within")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+@query("profile_approximate", CLOSE)
 def profile_approximate(spark, d):
-    rows = profile.profile(src.order_items(spark, d))
-    return rows.select("column", "approx_distinct", "percentiles")
+    """Distinct counts (three times five percent) and percentiles (ranks, one percent) are as near as they should be."""
+    items = src.order_items(spark, d)
+    return _within(items, profile.profile(items), 0.15)
+
+
+@query(
+    "profile_merged",
+    f"WITH {sql.ITEMS} SELECT * FROM ("
+    + sql.profile_rows(
+        "i",
+        [(c, k, k != "String") for c, k in zip(ITEM_COLUMNS, ["Integral"] * 4 + ["String"] + ["Fractional"] * 2)],
+    )
+    + f''') JOIN ({CLOSE}) USING ("column")''',
+)
+def profile_merged(spark, d):
+    """The profile of the items merged from one of each year and line, after two years were rewritten.
+
+    Exact figures must be those of the whole; sketched ones lie within their stated error.
+    """
+    items = src.order_items(spark, d)
+    path, store, parts = scratch_path(spark, "profiled"), scratch_path(spark, "partials"), ["y", "line"]
+    placed = items.withColumns({"y": F.coalesce(F.year("shipping_limit_date"), F.lit(0)) % 8, "line": F.col("order_item_id") % 2})
+    wrong = placed.withColumn("price", F.when(F.col("y") < 2, F.col("price") * 3 + 1).otherwise(F.col("price")))
+    write_table(wrong, path, parts)
+    if not path_exists(spark, path):  # no rows, no partitions
+        nothing = profile.profile(items)
+        return _exact(nothing).join(_within(items, nothing, 0), "column")
+    partials.refresh_partials(spark, path, store, parts)
+    fixed = placed.filter("y < 2")
+    staged = fresh(path, "staged")
+    write_table(fixed, staged, parts)
+    folders = [f"y={y}/line={n}" for y in (0, 1) for n in (0, 1) if Folders(spark, path).exists(f"{path}/y={y}/line={n}")]
+    replace_partitions(spark, staged, path, folders)
+    partials.refresh_partials(spark, path, store, parts, folders)
+    merged = partials.stored_profile(spark, store).filter(~F.col("column").isin(parts))
+    return _exact(merged).join(_within(items, merged, partials.DISTINCT_ERROR), "column")
 
 
 SUGGESTED = f"""WITH {sql.ORDERS},

@@ -88,7 +88,7 @@ def type_class(df: DataFrame, column: str) -> Column:
     large floating numbers does not matter.
     """
     kind = df.schema[column].dataType
-    value = F.col(column)
+    value = F.col(f"`{column}`")
     if isinstance(kind, T.IntegralType):
         name = F.lit(INTEGRAL)
     elif isinstance(kind, T.NumericType):

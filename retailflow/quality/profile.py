@@ -26,14 +26,14 @@ PROFILE_DDL = """
 """
 
 
-def _number(df: DataFrame, column: str) -> Column | None:
+def number_of(df: DataFrame, column: str) -> Column | None:
     """The column as a double when it is numeric or text that may hold numbers."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
+        return df[f"`{column}`"].cast("double")
     if isinstance(kind, T.StringType):
         numeric = type_class(df, column).isin(INTEGRAL, FRACTIONAL)
-        return F.when(numeric, F.col(column).try_cast("double"))
+        return F.when(numeric, df[f"`{column}`"].try_cast("double"))
     return None
 
 
@@ -79,10 +79,11 @@ def profile(df: DataFrame, percentiles: bool = True) -> DataFrame:
     ranks = F.expr(f"array({', '.join(f'{p}D' for p in PERCENTILES)})")
     for i, name in enumerate(df.columns):
         n = F.col(f"n{i}")
-        aggs += [F.count(name).alias(f"n{i}"), F.approx_count_distinct(name).alias(f"d{i}")]
+        value = df[f"`{name}`"]
+        aggs += [F.count(value).alias(f"n{i}"), F.approx_count_distinct(value).alias(f"d{i}")]
         inferred, counted = _inferred_type(df, name, i)
         aggs += counted
-        number = _number(df, name)
+        number = number_of(df, name)
         measures = {m: F.lit(None).cast("double") for m in ("min", "max", "mean", "sum", "std_dev")}
         quantiles = F.lit(None).cast("array<double>")
         if number is not None:

@@ -73,9 +73,9 @@ def row_bytes(df: DataFrame):
     width = F.lit(8 * len(df.columns))
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+            width = width + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+            width = width + F.coalesce(F.octet_length(F.to_json(f"`{f.name}`")), F.lit(0))
     return width
 
 

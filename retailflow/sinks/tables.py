@@ -136,6 +136,7 @@ def merge_into_path(
     partition_by: list[str],
     keys_stay: bool = False,
     index_buckets: int | None = None,
+    rewritten: list[str] | None = None,
 ) -> int:
     """Merge into a partitioned Parquet table, rewriting only touched partitions.
 
@@ -147,7 +148,8 @@ def merge_into_path(
 
     Where the keys are is found from the key columns of the table or, with ``index_buckets``,
     from a key index of so many buckets beside it (see ``KeyIndex``), which is built when
-    missing. An index that exists is used and kept up to date by every merge.
+    missing. An index that exists is used and kept up to date by every merge. The partition
+    folders that came, changed or went are added to the list ``rewritten``.
 
     The new partitions are staged as a whole before any old file is replaced, so a
     failed merge leaves the table as it was. The swap itself is one rename per
@@ -166,6 +168,8 @@ def merge_into_path(
             # One file without rows keeps the columns; partitions take its place later.
             write_table(spark.createDataFrame([], source.schema), staged)
         replace_folder(spark, staged, path)
+        if rewritten is not None:
+            rewritten += Folders(spark, path).leaves(path)
         if index_buckets and rows:
             KeyIndex(spark, path, keys, partition_by, index_buckets, source.schema).build(source)
         return rows
@@ -193,17 +197,20 @@ def merge_into_path(
             touched = touched.unionByName(found).distinct()
         # One row per touched partition.
         folders = _partition_folders(touched, path)
-        target = _read_folders(source, path, folders, partition_by)
+        target = read_folders(source, path, folders, partition_by)
         merged = merge(target.select(*source.columns), source, keys, update)
         write_table(merged, f"{work}/new", partition_by)
+        fresh_folders = Folders(spark, path).leaves(f"{work}/new")
         if index:
-            new = _read_folders(source, f"{work}/new", Folders(spark, path).leaves(f"{work}/new"), partition_by)
+            new = read_folders(source, f"{work}/new", fresh_folders, partition_by)
             index.of_keys(index.pairs(new), broadcast_if_small(wanted)).write.parquet(f"{work}/now")
             now = spark.read.parquet(f"{work}/now")
             came, gone = now.exceptAll(held), held.exceptAll(now)
             if not came.isEmpty():
                 index.append(came, alive=True)
         replace_partitions(spark, f"{work}/new", path, folders)
+        if rewritten is not None:
+            rewritten += sorted({*folders, *fresh_folders})
         if index:
             if not gone.isEmpty():
                 index.append(gone, alive=False)
@@ -265,7 +272,7 @@ def _partition_folders(touched: DataFrame, path: str) -> list[str]:
         return [f for f, there in zip(sorted(wanted), pool.map(lambda f: exists(f"{path}/{f}"), sorted(wanted))) if there]
 
 
-def _read_folders(like: DataFrame, path: str, folders: list[str], partition_by: list[str]) -> DataFrame:
+def read_folders(like: DataFrame, path: str, folders: list[str], partition_by: list[str]) -> DataFrame:
     """The rows of some partition folders, by their names; no other folder is listed."""
     spark = like.sparkSession
     if not folders:

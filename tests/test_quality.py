@@ -1,12 +1,15 @@
 """Checks, profiles and suggestions on small dirty frames."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from retailflow.model import REVIEW_IS_VALID
 from retailflow.operators.slices import split_valid
 from retailflow.quality import checks as c
+from retailflow.quality import partials
 from retailflow.quality.profile import analyze, profile, profile_with_histogram, suggest
 from retailflow.quality.repository import load_metrics, save_metrics
+from retailflow.sinks.tables import merge_into_path
 from tests.conftest import rows
 
 
@@ -156,3 +159,42 @@ def test_review_validity(spark):
     good, bad = split_valid(df, REVIEW_IS_VALID)
     assert rows(good) == [data[0]]
     assert bad.count() == 5
+
+
+def exact_rows(profiled):
+    measures = [F.round(m, 6).alias(m) for m in ("completeness", "min", "max", "mean", "sum", "std_dev")]
+    return rows(profiled.select("column", "data_type", "n_rows", "n_non_null", *measures))
+
+
+def test_merged_partials_equal_the_whole(spark):
+    data = [(n % 4, None if n % 5 == 0 else n, 1e6 + n / 7, "x" if n % 3 else str(n), str(n / 2), n % 2 == 0, None) for n in range(90)]
+    ddl = "part int, n int, f double, text string, `num.text` string, b boolean, nothing double"
+    df = spark.createDataFrame(data, ddl).withColumn("t", F.timestamp_seconds("part"))
+    merged = partials.merge_partials(partials.partial_profiles(df, ["part"]))
+    assert exact_rows(merged) == exact_rows(profile(df))
+    got = {r["column"]: r["percentiles"] for r in merged.collect()}
+    assert got["n"][49] == pytest.approx(45, abs=2) and got["num.text"][99] == 44.5
+    assert got["text"] is None and got["nothing"] is None
+    distinct = {r["column"]: r["approx_distinct"] for r in merged.collect()}
+    assert (distinct["f"], distinct["n"], distinct["t"], distinct["b"], distinct["nothing"]) == (90, 72, 4, 2, 0)
+    assert merged.count() == 8
+
+
+def test_store_follows_rewritten_partitions(spark, tmp_path):
+    path, store, parts = str(tmp_path / "t"), str(tmp_path / "s"), ["year", "day"]
+    ddl = "k string, v int, year int, day int"
+
+    def load(batch):
+        folders = []
+        merge_into_path(spark.createDataFrame(batch, ddl), path, ["k"], "*", parts, rewritten=folders)
+        partials.refresh_partials(spark, path, store, parts, folders)
+        assert exact_rows(partials.stored_profile(spark, store)) == exact_rows(profile(spark.read.parquet(path)))
+        return folders
+
+    assert load([("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 3, None, 3)]) != []
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "s" / "year=1" / "day=2").iterdir()}
+    assert load([("a", 10, 2, 1), ("c", 4, None, 3), ("d", 5, None, 3)]) == [
+        "year=1/day=1", "year=2/day=1", "year=__HIVE_DEFAULT_PARTITION__/day=3",
+    ]
+    assert not (tmp_path / "s" / "year=1" / "day=1").exists()  # its only row moved
+    assert before == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "s" / "year=1" / "day=2").iterdir()}
