@@ -78,11 +78,14 @@ def key_probe(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def distinct_on(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """One row per key: the first by ``order_by``, then by the other columns."""
+    """One row per key: the first by ``order_by``, nulls last, then by the other columns."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    lead = [*(order_by or []), *[c for c in rest if c not in (order_by or [])]]
+    lead = []
+    for c in order_by or []:
+        lead += [F.col(c).isNull().alias(f"__no_{c}"), F.col(c)]
+    lead += [F.col(c) for c in rest if c not in (order_by or [])]
     firsts = df.groupBy(*keys).agg(F.min(F.struct(*lead)).alias("__row"))
     return firsts.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
@@ -127,9 +130,16 @@ def partition_skew(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def sample_rows(df: DataFrame, n: int, not_null: str, seed: int = 0) -> DataFrame:
-    """``n`` random rows among those where ``not_null`` is present."""
-    return df.filter(F.col(not_null).isNotNull()).orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, not_null: str, keys: list[str], seed: int = 0) -> DataFrame:
+    """``n`` random rows among those where ``not_null`` is present: the same rows on any layout.
+
+    A bottom-k sample: the rows with the least md5 of seed and keys, ties by the other columns. Every
+    task keeps ``n`` rows at most before they meet. The sample of a union is the sample of the
+    union of samples, so batches can be sampled as they come.
+    """
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    rest = [c for c in df.columns if c not in keys]
+    return df.filter(F.col(not_null).isNotNull()).orderBy(mark, *keys, *rest).limit(n)
 
 
 def _as_double(f: T.StructField):

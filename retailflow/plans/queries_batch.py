@@ -157,10 +157,15 @@ def largest_payments(spark, d):
     return rows.orderBy(F.desc("payment_value"), "order_id").limit(10)
 
 
-@query("review_sample")
+@query(
+    "review_sample",
+    f"""WITH {sql.REVIEWS} SELECT order_id, review_comment_title, review_comment_message FROM r
+    WHERE review_comment_message IS NOT NULL
+    ORDER BY md5('7|' || coalesce(CAST(order_id AS VARCHAR), '')), order_id, review_comment_title, review_comment_message LIMIT 2""",
+)
 def review_sample(spark, d):
     reviews = src.order_reviews(spark, d).select("order_id", "review_comment_title", "review_comment_message")
-    return agg.sample_rows(reviews, 2, "review_comment_message", seed=7)
+    return agg.sample_rows(reviews, 2, "review_comment_message", ["order_id"], seed=7)
 
 
 @query(

@@ -74,6 +74,44 @@ def landing_mixed_headers(spark, d):
     return files.read_csv_table(spark, path, ORDERS_DDL, multiline=False)
 
 
+@query(
+    "landing_rejects",
+    f"""WITH {sql.PAYMENTS}, m AS (SELECT *, CAST(order_id AS VARCHAR) AS id, CAST(payment_installments AS VARCHAR) AS parts FROM p)
+    SELECT CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN order_id END AS order_id,
+      CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN payment_type END AS payment_type,
+      CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN payment_installments END AS payment_installments,
+      CASE order_id % 7 WHEN 1 THEN 'type: payment_installments' WHEN 2 THEN 'fields' WHEN 3 THEN 'fields'
+        WHEN 4 THEN 'type: order_id, payment_installments' END AS reason,
+      CASE order_id % 7 WHEN 1 THEN id || ',' || payment_type || ',many' WHEN 2 THEN id || ',' || payment_type
+        WHEN 3 THEN id || ',' || payment_type || ',' || parts || ',more' WHEN 4 THEN 'x' || id || ',' || payment_type || ',1.5' END AS record
+    FROM m""",
+)
+def landing_rejects(spark, d):
+    """Payments whose files hold short, long and mistyped records: rows and rejects, each with its reason."""
+    path = scratch_path(spark, "broken_csv")
+    pays = src.order_payments(spark, d)
+    key, kind, parts = (F.col(c).cast("string") for c in ("order_id", "payment_type", "payment_installments"))
+    rest = F.pmod("order_id", F.lit(7))
+    line = (
+        F.when(rest == 1, F.concat_ws(",", key, kind, F.lit("many")))
+        .when(rest == 2, F.concat_ws(",", key, kind))
+        .when(rest == 3, F.concat_ws(",", key, kind, parts, F.lit("more")))
+        .when(rest == 4, F.concat_ws(",", F.concat(F.lit("x"), key), kind, F.lit("1.5")))
+        .otherwise(F.concat_ws(",", key, kind, parts))
+    )
+    names = "order_id,payment_type,payment_installments"
+    # The first row of every task carries the header of its file.
+    starts = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    pays.select(F.when(starts, F.concat(F.lit(names + "\n"), line)).otherwise(line)).write.text(f"{path}/csv")
+    head = spark.createDataFrame([(names,)], "value string")
+    head.write.mode("append").text(f"{path}/csv")  # a file of nothing but its header
+    ddl = "order_id bigint, payment_type string, payment_installments int"
+    rows, rejects = files.read_csv_checked(spark, f"{path}/csv", ddl, multiline=False)
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("reason", "record")]
+    blank = [F.lit(None).cast(k).alias(c) for c, k in rows.dtypes]
+    return rows.select("*", *nothing).unionByName(rejects.select(*blank, "reason", "record"))
+
+
 @query(
     "reviews_multiline_csv",
     f"""WITH {sql.REVIEWS} SELECT order_id, review_id, md5(review_comment_message) AS message_md5,

@@ -93,6 +93,67 @@ def _bound(reader, path: str | list[str], names: list[str], wanted: T.StructType
     )
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, policy: str = "reject", multiline: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of CSV files with headers: malformed records are told apart from rows.
+
+    A record is malformed if it has more or fewer fields than its header, or a field that its
+    column's type cannot hold. ``rejects`` has one row for each: ``file, reason, record``; the
+    reason is ``fields`` or ``type: <columns>``. ``policy`` says what becomes of them in
+    ``rows``: ``reject`` leaves them out, ``null`` keeps them with null for what cannot be read, ``raise``
+    stops the read at the first. Columns are bound by name in every file.
+    """
+    if policy not in ("reject", "null", "raise"):
+        raise ValueError("policy must be reject, null or raise")
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(**CSV_DIALECT).option("header", True).option("multiLine", multiline)
+    # All fields are parsed as text, none pruned: only then does the parser count them.
+    reader = reader.options(nullValue=NULL_MARK, mode="PERMISSIVE", columnPruning=False, columnNameOfCorruptRecord=BROKEN)
+    parts = [_checked(reader, where, names, wanted) for names, where in _by_header(spark, reader, path)]
+    marked = reduce(DataFrame.unionByName, parts)
+    rejects = marked.filter(F.col(REASON).isNotNull()).select("__file", REASON, "__record")
+    rejects = rejects.toDF("file", "reason", "record")
+    if policy == "reject":
+        marked = marked.filter(F.col(REASON).isNull())
+    rows = marked.select(*wanted.names)
+    if policy == "raise":
+        problem = F.concat(F.lit("malformed record ("), F.col(REASON), F.lit("): "), F.col("__record"))
+        rows = marked.filter(F.coalesce(F.assert_true(F.col(REASON).isNull(), problem).isNull(), F.lit(True))).select(*wanted.names)
+    return rows, rejects
+
+
+BROKEN, REASON = "__broken", "__reason"
+
+
+def _checked(reader, path: str | list[str], names: list[str], wanted: T.StructType) -> DataFrame:
+    """Files of one header: wanted columns by name, file, reason of rejection and raw record."""
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*names, BROKEN]])
+    df = reader.schema(texts).csv(path)
+    typed = [f for f in wanted.fields if f.name in names and not isinstance(f.dataType, T.StringType)]
+    wrong = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                for f in typed
+            ],
+            F.lit(None).cast("string"),
+        )
+    )
+    reason = F.when(F.col(BROKEN).isNotNull(), F.lit("fields")).when(
+        F.size(wrong) > 0, F.concat(F.lit("type: "), F.array_join(wrong, ", "))
+    )
+    record = F.coalesce(F.col(BROKEN), F.to_csv(F.struct(*names), {"nullValue": "", **CSV_DIALECT}))
+    by_name = {f.name: f.dataType for f in wanted.fields}
+    values = [F.col(c).try_cast(kind) if c in names else F.lit(None).cast(kind) for c, kind in by_name.items()]
+    return df.select(
+        *[v.alias(c) for c, v in zip(by_name, values)],
+        F.col("_metadata.file_path").alias("__file"),
+        reason.alias(REASON),
+        record.alias("__record"),
+    )
+
+
 def landing_path(root: str, table: str, day: str | None = None) -> str:
     name = f"{table}.{day.strip()}" if day else table
     return f"{root}/landing/{table}/{name}.csv"

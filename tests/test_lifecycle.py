@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from retailflow.operators import aggregates, joins, lifecycle
 from tests.conftest import rows
@@ -139,5 +140,20 @@ def test_key_probe_and_distinct_on(spark):
 
 def test_sample_size(spark):
     df = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(50)], "i int, t string")
-    picked = rows(aggregates.sample_rows(df, 5, "t", seed=3))
+    picked = rows(aggregates.sample_rows(df, 5, "t", ["i"], seed=3))
     assert len(picked) == 5 and all(t == "x" for _, t in picked)
+    assert rows(aggregates.sample_rows(df, 5, "t", ["i"], seed=4)) != picked
+
+
+def test_sample_is_the_same_on_any_layout_and_mergeable(spark):
+    df = spark.range(400).selectExpr("id AS i", "CASE WHEN id % 3 > 0 THEN CAST(id AS STRING) END AS t")
+    one = rows(aggregates.sample_rows(df.repartition(1), 9, "t", ["i"], seed=3))
+    assert one == rows(aggregates.sample_rows(df.repartition(7, "t").sort(F.desc("i")), 9, "t", ["i"], seed=3))
+    parts = [aggregates.sample_rows(df.filter(f"i % 4 = {n}"), 9, "t", ["i"], seed=3) for n in range(4)]
+    union = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    assert rows(aggregates.sample_rows(union, 9, "t", ["i"], seed=3)) == one
+
+
+def test_distinct_on_takes_nulls_last(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, None, "c")], "n int, v int, s string")
+    assert rows(aggregates.distinct_on(df, ["n"], ["v"])) == [(1, 2, "b"), (2, None, "c")]

@@ -537,3 +537,42 @@ def test_write_landing_replaces_a_day(spark, tmp_path):
     for _ in range(2):
         path = write_landing(df, str(tmp_path), "t", D1)
     assert files.read_csv_table(spark, path).count() == 1
+
+
+def broken_files(tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('k,v,t\n1,a,2017-01-01 00:00:00\n2,b\n3,c,2017-01-01 00:00:00,9\nx,"d, e",never\n4,"",\n')
+    (tmp_path / "in" / "b.csv").write_text("v,k\nf,5\ng,5.5\n")
+    (tmp_path / "in" / "c.csv").write_text("k,v,t\n")
+    return str(tmp_path / "in"), "k int, v string, t timestamp_ntz"
+
+
+def test_rejected_records(spark, tmp_path):
+    path, ddl = broken_files(tmp_path)
+    good, rejects = files.read_csv_checked(spark, path, ddl, multiline=False)
+    assert rows(good, "k", "v") == [(1, "a"), (4, ""), (5, "f")]
+    found = {(r["file"].rsplit("/", 1)[1], r["reason"], r["record"]) for r in rejects.collect()}
+    assert found == {
+        ("a.csv", "fields", "2,b"),
+        ("a.csv", "fields", "3,c,2017-01-01 00:00:00,9"),
+        ("a.csv", "type: k, t", 'x,"d, e",never'),
+        ("b.csv", "type: k", "g,5.5"),
+    }
+    kept, again = files.read_csv_checked(spark, path, ddl, policy="null", multiline=False)
+    assert again.count() == 4
+    assert sorted((r["k"] or 0, r["v"]) for r in kept.collect()) == [(0, "d, e"), (0, "g"), (1, "a"), (2, "b"), (3, "c"), (4, ""), (5, "f")]
+    strict, _ = files.read_csv_checked(spark, path, ddl, policy="raise", multiline=False)
+    with pytest.raises(Exception, match="malformed record"):
+        strict.collect()
+    with pytest.raises(ValueError):
+        files.read_csv_checked(spark, path, ddl, policy="drop")
+
+
+def test_records_over_lines_are_checked_whole(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('k,v\n1,"a\nb"\nx,"c\nd"\n2,e,f\n')
+    good, rejects = files.read_csv_checked(spark, str(tmp_path / "m.csv"), "k int, v string")
+    assert rows(good) == [(1, "a\nb")]
+    assert rows(rejects, "reason") == [("fields",), ("type: k",)]
+    strict, _ = files.read_csv_checked(spark, str(tmp_path / "m.csv"), "k int, v string", policy="raise")
+    with pytest.raises(Exception, match="malformed record"):
+        strict.count()
