@@ -8,7 +8,7 @@ from retailflow.plans import oracles as sql
 from retailflow.plans.catalogue import query
 from retailflow.session import scratch_path
 from retailflow.sources import sample_tables as src
-from retailflow.streaming import decode, sinks
+from retailflow.streaming import decode, sinks, state
 from retailflow.streaming.sources import read_change_stream
 
 EPOCH = "1970-01-01 00:00:00"
@@ -251,6 +251,21 @@ def stream_upsert_state(spark, d):
     return sinks.read_state(spark, log, ["user_id"], ["ts", "event_id"])
 
 
+@query("stream_state_updates", LATEST)
+def stream_state_updates(spark, d):
+    """The last event of each user, kept by a stateful stream: several batches, late and repeated events, one restart."""
+    events = src.table(spark, d, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    feed, table, checkpoint = (scratch_path(spark, n) for n in ("state_feed", "state_table", "state_restart"))
+    parts = spark.sparkContext.defaultParallelism
+    # By hash: every file holds early and late events, so later batches bring older events too.
+    mixed = events.repartition(2 * parts, F.xxhash64("event_id"))
+    for again in (mixed, mixed.filter("event_id % 3 = 0")):
+        again.write.mode("append").parquet(feed)
+        stream = read_change_stream(spark, feed, "parquet", events.schema, files_per_batch=parts)
+        state.start_state(stream, ["user_id"], ["ts", "event_id"], table, checkpoint, buckets=4).awaitTermination()
+    return state.read_state_table(spark, table)
+
+
 @query(
     "cdc_reviews_from_topic",
     REVIEWS_DECODED,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailflow.plans import queries_batch, queries_streams
-from retailflow.streaming import decode, sinks
+from retailflow.streaming import decode, sinks, state
 from retailflow.streaming.sources import kafka_options, read_change_stream
 from tests.conftest import rows
 
@@ -173,3 +173,33 @@ def test_next_cursor_of_a_null_time(spark, monkeypatch):
     orders = spark.sql("SELECT timestamp '1996-02-28 23:59:59' AS order_purchase_timestamp UNION ALL SELECT null")
     monkeypatch.setattr(queries_batch.src, "orders", lambda spark, d: orders)
     assert rows(queries_batch.next_cursor_days(spark, "")) == [("1996-02-28", "1996-02-29", 1), (None, None, 1)]
+
+
+def test_state_is_kept_over_late_repeated_and_restarted_batches(spark, tmp_path):
+    ddl = "k string, at int, v string"
+    feed, table, checkpoint = (str(tmp_path / n) for n in ("feed", "table", "checkpoint"))
+    batches = [
+        [("a", 5, "five"), ("b", 1, "one"), (None, 9, "no key")],
+        [("a", 3, "late"), ("b", 2, "two")],
+        [("a", 5, "five"), ("c", 1, "first"), ("b", 2, "two")],
+        [("c", 0, "late")],
+    ]
+    touched = []
+    for batch in batches:
+        spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(ddl).parquet(feed)
+        query = state.start_state(stream, ["k"], ["at"], table, checkpoint, buckets=3)  # a restart each time
+        query.awaitTermination()
+        touched.append(query.lastProgress["stateOperators"][0]["numRowsUpdated"])
+    assert rows(state.read_state_table(spark, table)) == [("a", 5, "five"), ("b", 2, "two"), ("c", 1, "first")]
+    assert touched == [2, 2, 3, 1]
+    assert spark.conf.get(state.PROVIDER, None) != state.ROCKS_DB
+
+
+def test_state_sink_takes_a_batch_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink = state.state_table_sink(path, ["k"], 2)
+    first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, at int")
+    for df in (first, first, spark.createDataFrame([("a", 2)], "k string, at int"), first.limit(0)):
+        sink(df, 0)
+    assert rows(state.read_state_table(spark, path), "k", "at") == [("a", 2), ("b", 1)]
