@@ -11,6 +11,10 @@ from retailflow.session import broadcast_if_small
 PURCHASED = "order_purchase_timestamp"
 #: Child rows of one order beyond which a left join splits the order over tasks.
 HOT_ROWS = 100_000
+#: Counters of a summary, ids that it lists at most, and the share of rows beyond which none is missed.
+SUMMARY_IDS = 10_000
+LISTED_IDS = 1_500
+SUMMARY_ERROR = 1e-3
 
 
 def with_parent_time(
@@ -79,24 +83,37 @@ def order_fan_out(
     return left_join_spread(left_join_spread(orders, items, hot_rows), payments, hot_rows)
 
 
+def heavy_ids(child: DataFrame, column: str, more_than: int) -> list:
+    """Ids with more than ``more_than`` rows, from a summary of bounded size; no shuffle of the ids.
+
+    Each task keeps ``SUMMARY_IDS`` counters and sends one row; the summaries merge. Every id with
+    more rows than ``SUMMARY_ERROR`` of all is in the result, smaller ones if the summary still
+    holds them. Candidates alone are counted again, exactly, so no other id gets in.
+    """
+    ids = child.select(F.col(column).alias("i")).filter(F.col("i").isNotNull())
+    top = ids.select(F.expr(f"approx_top_k(i, {LISTED_IDS}, {SUMMARY_IDS})").alias("t")).first()["t"]
+    listed = [r["item"] for r in top or [] if r["count"] > more_than]
+    if not listed:
+        return []
+    counts = ids.filter(F.col("i").isin(listed)).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    return [r["i"] for r in counts.filter(F.col("n") > more_than).collect()]
+
+
 def left_join_spread(parent: DataFrame, child: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``parent LEFT JOIN child`` on ``order_id`` that survives huge orders.
 
     A left join cannot split the child rows of one id over tasks, an inner join can. So
-    the ids with more than ``hot_rows`` child rows are found first, with partial counts on
-    the id column alone, and joined apart. Every hot id has children, so an inner join
-    loses none of its parents. ``hot_rows`` decides where the work is done, never what
-    rows come out; zero joins every id apart.
+    the ids with more than ``hot_rows`` child rows are found first (see ``heavy_ids``) and
+    joined apart. Every hot id has children, so an inner join loses none of its
+    parents. ``hot_rows`` decides where the work is done, never what rows come out.
     """
-    counts = child.groupBy("order_id").agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter((F.col("__n") > hot_rows) & F.col("order_id").isNotNull()).select("order_id")
-    if hot.isEmpty():
+    hot = heavy_ids(child, "order_id", hot_rows)
+    if not hot:
         return parent.join(child, "order_id", "left")
     rest = [c for c in child.columns if c != "order_id"]
-    cold = parent.join(hot, "order_id", "left_anti").join(
-        child.join(hot, "order_id", "left_anti"), "order_id", "left"
-    )
-    large = child.join(hot, "order_id", "left_semi").join(parent, "order_id")
+    is_hot = F.coalesce(F.col("order_id").isin(hot), F.lit(False))
+    cold = parent.filter(~is_hot).join(child.filter(~is_hot), "order_id", "left")
+    large = child.filter(is_hot).join(parent.filter(is_hot), "order_id")
     columns = [*parent.columns, *rest]
     return cold.select(columns).unionByName(large.select(columns))
 

@@ -138,6 +138,23 @@ def test_key_probe_and_distinct_on(spark):
     assert rows(aggregates.key_probe(df.limit(0), ["n"])) == [(0, 0, 0)]
 
 
+def test_heavy_ids_are_found_among_many(spark):
+    heavy = "CASE WHEN id % 50 = 0 THEN 7 WHEN id % 200 = 1 THEN 11 WHEN id % 9 = 2 THEN NULL ELSE 1000 + id END"
+    df = spark.range(0, 300_000, 1, 6).selectExpr(f"{heavy} AS i")
+    assert sorted(joins.heavy_ids(df, "i", 1000)) == [7, 11]
+    assert joins.heavy_ids(df, "i", 6000) == []
+    assert joins.heavy_ids(df.limit(0), "i", 0) == []
+    texts = df.selectExpr("CAST(i AS STRING) AS i")
+    assert sorted(joins.heavy_ids(texts, "i", 1000)) == ["11", "7"]
+
+
+def test_no_shuffle_of_ids_before_the_join(spark, capsys):
+    parent, child = spark.range(100).toDF("order_id"), spark.range(1000).selectExpr("id % 90 AS order_id", "id AS v")
+    joined = joins.left_join_spread(parent.hint("merge"), child)
+    joined.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2  # one of each side
+
+
 def test_sample_size(spark):
     df = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(50)], "i int, t string")
     picked = rows(aggregates.sample_rows(df, 5, "t", ["i"], seed=3))
