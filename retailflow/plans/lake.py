@@ -76,9 +76,19 @@ def extract_days(
     spec = FACTS[name]
     if spec.slice_time:
         return add_date_parts(days_slice(tables[name], spec.slice_time, start, end), spec.slice_time)
-    picked = days_slice(tables["orders"], PURCHASED, start, end)
-    picked = broadcast_if_small(add_date_parts(picked, PURCHASED).select("order_id", *DATE_PARTS))
-    child = tables[name]
+    return _of_orders(tables[name], days_slice(tables["orders"], PURCHASED, start, end), keep_empty)
+
+
+def extract_undated(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """Source rows that no day holds, because their own or their order's time is null."""
+    spec = FACTS[name]
+    if spec.slice_time:
+        return add_date_parts(tables[name].filter(F.col(spec.slice_time).isNull()), spec.slice_time)
+    return _of_orders(tables[name], tables["orders"].filter(F.col(PURCHASED).isNull()))
+
+
+def _of_orders(child: DataFrame, orders: DataFrame, keep_empty: bool = False) -> DataFrame:
+    picked = broadcast_if_small(add_date_parts(orders, PURCHASED).select("order_id", *DATE_PARTS))
     if not keep_empty:
         return child.join(picked, "order_id").select(*child.columns, *DATE_PARTS)
     joined = left_from_few(picked, child)
@@ -256,6 +266,11 @@ def backfill(
     return load_rows(rows, lake, FACTS[name], f"{start}..{end}", test=test)
 
 
+def load_undated(tables: dict[str, DataFrame], lake: Lake, name: str, test: bool = True) -> int:
+    """Load the rows without a day into the null partition; a time that comes later moves them."""
+    return load_rows(extract_undated(tables, name), lake, FACTS[name], "undated", test=test)
+
+
 def full_load(tables: dict[str, DataFrame], path_of: Callable[[str], str]) -> None:
     """Write every table whole."""
     for name, df in tables.items():

@@ -139,7 +139,7 @@ def profile_rows(source: str, columns: list[tuple[str, str, bool]]) -> str:
         parts.append(
             f"SELECT '{column}' AS \"column\", CASE WHEN count({column}) = 0 THEN 'Unknown' ELSE '{kind}' END AS data_type,"
             f" count(*) AS n_rows, count({column}) AS n_non_null,"
-            f" round(count({column}) / count(*), 9) AS completeness,"
+            f" round(count({column}) / nullif(count(*), 0), 9) AS completeness,"
             f" min({v}) AS min, max({v}) AS max, round(avg({v}), 4) AS mean,"
             f" round({exact}, 2) AS sum, round(stddev_pop({v}), 4) AS std_dev FROM {source}"
         )

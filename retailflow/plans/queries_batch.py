@@ -362,7 +362,7 @@ def payments_at_approval(spark, d):
     "items_at_purchase",
     f"""WITH {sql.ORDERS}, {sql.ITEMS}
     SELECT strftime(order_purchase_timestamp, '%Y-%m') AS yearmonth, count(*) AS n_events, {sql.money('price')} AS price
-    FROM i JOIN o ON o.order_id = i.order_id GROUP BY 1""",
+    FROM i JOIN o ON o.order_id = i.order_id WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1""",
 )
 def items_at_purchase(spark, d):
     rows = joins.with_parent_time(src.order_items(spark, d), src.orders(spark, d))
@@ -568,7 +568,8 @@ STAGES = [
 ]
 EVENTS_SQL = "\nUNION ALL ".join(
     f"SELECT order_id, customer_id, order_estimated_delivery_date, order_purchase_timestamp AS purchased_timestamp,"
-    f" {i} AS ordinal, '{stage}' AS stage, {column} AS timestamp, {status} AS order_status FROM s WHERE {column} IS NOT NULL"
+    f" {i} AS ordinal, '{stage}' AS stage, {column} AS timestamp, {status} AS order_status FROM s"
+    f" WHERE order_purchase_timestamp IS NOT NULL AND {column} IS NOT NULL"
     for i, stage, column, status in STAGES
 )
 

@@ -33,6 +33,7 @@ from retailflow.sinks.landing import write_csv
 from retailflow.sinks.tables import (
     clear_target,
     create_table,
+    path_exists,
     refresh_table,
     replicate,
     write_table,
@@ -76,21 +77,23 @@ def landing_mixed_headers(spark, d):
 
 @query(
     "landing_rejects",
-    f"""WITH {sql.PAYMENTS}, m AS (SELECT *, CAST(order_id AS VARCHAR) AS id, CAST(payment_installments AS VARCHAR) AS parts FROM p)
+    f"""WITH {sql.PAYMENTS}, m AS (SELECT *, CAST(order_id AS VARCHAR) AS id,
+      coalesce(payment_type, '') AS kind, coalesce(CAST(payment_installments AS VARCHAR), '') AS parts FROM p)
     SELECT CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN order_id END AS order_id,
       CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN payment_type END AS payment_type,
       CASE WHEN order_id % 7 NOT IN (1, 2, 3, 4) THEN payment_installments END AS payment_installments,
       CASE order_id % 7 WHEN 1 THEN 'type: payment_installments' WHEN 2 THEN 'fields' WHEN 3 THEN 'fields'
         WHEN 4 THEN 'type: order_id, payment_installments' END AS reason,
-      CASE order_id % 7 WHEN 1 THEN id || ',' || payment_type || ',many' WHEN 2 THEN id || ',' || payment_type
-        WHEN 3 THEN id || ',' || payment_type || ',' || parts || ',more' WHEN 4 THEN 'x' || id || ',' || payment_type || ',1.5' END AS record
+      CASE order_id % 7 WHEN 1 THEN id || ',' || kind || ',many' WHEN 2 THEN id || ',' || kind
+        WHEN 3 THEN id || ',' || kind || ',' || parts || ',more' WHEN 4 THEN 'x' || id || ',' || kind || ',1.5' END AS record
     FROM m""",
 )
 def landing_rejects(spark, d):
     """Payments whose files hold short, long and mistyped records: rows and rejects, each with its reason."""
     path = scratch_path(spark, "broken_csv")
     pays = src.order_payments(spark, d)
-    key, kind, parts = (F.col(c).cast("string") for c in ("order_id", "payment_type", "payment_installments"))
+    columns = ("order_id", "payment_type", "payment_installments")
+    key, kind, parts = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)
     rest = F.pmod("order_id", F.lit(7))
     line = (
         F.when(rest == 1, F.concat_ws(",", key, kind, F.lit("many")))
@@ -145,7 +148,8 @@ def inferred_csv_scan(spark, d):
 def headerless_csv_scan(spark, d):
     path = scratch_path(spark, "customers_csv")
     write_csv(src.table(spark, d, "customer"), path, header=False)
-    read = files.read_csv_table(spark, path, header=False, multiline=False)
+    places = ", ".join(f"_c{n} string" for n in range(5))
+    read = files.read_csv_table(spark, path, places, header=False, multiline=False)
     return read.groupBy("_c2").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -158,6 +162,8 @@ def text_stack_scan(spark, d):
     root = scratch_path(spark, "orders_by_year")
     yearly = src.orders(spark, d).withColumn("folder", F.year(PURCHASED))
     yearly.write.partitionBy("folder").option("header", True).csv(root)
+    if yearly.isEmpty():  # no folder to read
+        return spark.createDataFrame([], "year int, n bigint, customer_sum bigint")
     stack = files.read_text_stack(spark, f"{root}/folder=*")
     return stack.groupBy(F.year(F.try_to_timestamp(PURCHASED)).alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("customer_id").try_cast("bigint")).alias("customer_sum")
@@ -385,7 +391,7 @@ def staged_merge_tables(spark, d):
 
 # --- day loads ---------------------------------------------------------------
 def _loaded(spark, d, name: str, runs: int = 1):
-    """A lakehouse table after loads of all its days, from the first to the last."""
+    """A lakehouse table after loads of all its days, from the first to the last, and of rows without a day."""
     lake = lakes.Lake(scratch_path(spark, "lake"), partition_by=("year", "month"))
     tables = src.retail_tables(spark, d)
     time = FACTS[name].slice_time
@@ -394,8 +400,12 @@ def _loaded(spark, d, name: str, runs: int = 1):
     )
     first, last = days.first()
     for _ in range(runs):
-        lakes.backfill(tables, lake, name, first, next_day(last))
-    return lake, spark.read.parquet(lake.table(name))
+        if first:
+            lakes.backfill(tables, lake, name, first, next_day(last))
+        lakes.load_undated(tables, lake, name)
+    if path_exists(spark, lake.table(name)):
+        return lake, spark.read.parquet(lake.table(name))
+    return lake, lakes.extract_undated(tables, name)  # no rows at all
 
 
 DAY_PARTS = """CAST(year({t}) AS INTEGER) AS year, CAST(month({t}) AS INTEGER) AS month, CAST(day({t}) AS INTEGER) AS day"""
@@ -452,10 +462,13 @@ def lakehouse_reviews(spark, d):
 )
 def warehouse_orders(spark, d):
     """The days from 1996 on, then one of them again."""
-    lake, _ = _loaded(spark, d, "orders")
-    last = spark.read.parquet(lake.table("orders")).agg(F.date_format(F.max(PURCHASED), "yyyy-MM-dd")).first()[0]
-    lakes.warehouse_day(spark, lake, "orders", "1996-01-01", end=next_day(last))
+    lake, table = _loaded(spark, d, "orders")
+    last = table.agg(F.date_format(F.max(PURCHASED), "yyyy-MM-dd")).first()[0]
+    if last:
+        lakes.warehouse_day(spark, lake, "orders", "1996-01-01", end=next_day(last))
     lakes.warehouse_day(spark, lake, "orders", DAY)
+    if not path_exists(spark, lake.warehouse("orders")):
+        return table.drop(*DATE_PARTS).limit(0)
     return spark.read.parquet(lake.warehouse("orders")).drop(*DATE_PARTS)
 
 

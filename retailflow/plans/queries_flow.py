@@ -161,7 +161,7 @@ def merge_by_key_index(spark, d):
     named = pairs.select(*[F.col(c).alias(f"__{c}") for c in pairs.columns], F.lit(True).alias("indexed"))
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in pairs.columns])
     found = table.join(named, same, "left").withColumn("indexed", F.coalesce("indexed", F.lit(False)))
-    return found.select(*table.columns, "indexed", F.lit(pairs.count()).alias("index_pairs"))
+    return found.select(*table.columns, "indexed", F.lit(pairs.count()).cast("long").alias("index_pairs"))
 
 
 @query(

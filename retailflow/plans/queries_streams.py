@@ -251,7 +251,7 @@ def stream_upsert_state(spark, d):
     return sinks.read_state(spark, log, ["user_id"], ["ts", "event_id"])
 
 
-@query("stream_state_updates", LATEST)
+@query("stream_state_updates", LATEST.replace("FROM events", "FROM events WHERE user_id IS NOT NULL"))
 def stream_state_updates(spark, d):
     """The last event of each user, kept by a stateful stream: several batches, late and repeated events, one restart."""
     events = src.table(spark, d, "events").select("user_id", "event_id", "event_type", "value", "ts")

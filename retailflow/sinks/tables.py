@@ -97,12 +97,12 @@ def create_table_ddl(
 
 
 def refresh_table(df: DataFrame, path: str) -> bool:
-    """Replace a dimension by the full source; an empty source changes nothing.
+    """Replace a dimension by the full source; an empty source changes no table that is there.
 
     The new table is written beside the old one and takes its place when it is whole.
     """
     spark = df.sparkSession
-    if df.isEmpty():
+    if df.isEmpty() and path_exists(spark, path):
         return False
     staged = f"{path}_staged-{uuid.uuid4().hex}"
     try:
