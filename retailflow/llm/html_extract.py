@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,11 +29,13 @@ from retailflow.llm.common import small_batches
 BUILT_PAGES = 400
 MARKED_PAGES = 200
 
-# Fixed lists of HTML: elements within a line of text, without content, with raw text,
-# and those whose start closes an open paragraph or an open element of their kind.
+# Fixed lists of HTML: elements within a line of text, without content, with raw text, without
+# text of the page, and those whose start closes an open paragraph or an open element of their kind.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg math select object audio video canvas xmp".split())
+RAW = set("script style textarea title xmp".split())
+ASIDE = set("noscript template iframe svg math select object audio video canvas".split())
+NESTED = set("svg math template object".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
@@ -67,6 +70,32 @@ class Node:
     linked: int = 0
 
 
+@lru_cache(maxsize=256)
+def _tags(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
+
+
+def subtree_end(page: str, tag: str, at: int, around: str) -> int | None:
+    """Where an element without text of the page ends, if its end tag stands inside the element around it.
+
+    None for an element without such an end tag: it is then taken to be empty, so that
+    nothing that follows is lost. A further start before the end says the same, except
+    for elements that may hold their own kind.
+    """
+    limit = next((m.start() for m in _tags(around).finditer(page, at) if m[1]), len(page))
+    depth = 1
+    for mark in _tags(tag).finditer(page, at, limit):
+        if mark[1]:
+            depth -= 1
+            if not depth:
+                return mark.end()
+        elif tag not in NESTED:
+            return None
+        elif not mark[0].endswith("/>"):
+            depth += 1
+    return None
+
+
 def parse(page: str) -> list[Node]:
     """Block elements of a page in page order, parents before children."""
     nodes = [Node("#page", -1)]
@@ -124,7 +153,13 @@ def parse(page: str) -> list[Node]:
         if tag == "br":
             text(" ")
             continue
+        if tag in ASIDE:
+            if not (tag in ("svg", "math") and mark[3].rstrip().endswith("/")):
+                around = next((t for t, _ in reversed(open_) if t not in INLINE), "#page")
+                at = subtree_end(page, tag, at, around) or at
+            continue
         if tag in RAW:
+            # Without an end tag raw text goes on to the end of the page.
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue

@@ -90,3 +90,27 @@ def test_rows_of_every_kind(spark, model):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     empty = pages.limit(0)
     assert he.extract(empty, he.train(empty)).count() == 0
+
+
+ASIDE = [
+    '<svg width="1" height="1"/>', "<template/>", '<iframe src="x">', '<object data="x">', "<canvas>", "<video src=x>",
+    "<select><option>a</option>", "<noscript>", "<math/>", "<audio controls>", "<svg><title>t</title></svg>",
+    "<canvas>none</canvas>", "<template><p>x</p><template>y</template></template>", "<svg><svg/><g/></svg>",
+]
+
+
+@pytest.mark.parametrize("element", ASIDE)
+def test_no_text_is_lost_after_an_element_without_end(element):
+    page = f"<html><body><article><p>one two</p>{element}<p>three four</p></article><p>five</p></body></html>"
+    texts = ["".join(t for _, run in n.runs for t in run) for n in he.parse(page)]
+    kept = [t.strip() for t in texts if t.strip()]
+    assert [t for t in kept if t != "a"] == ["one two", "three four", "five"]
+
+
+def test_an_end_tag_beyond_the_parent_or_of_another_does_not_count():
+    page = "<article><p>one</p><video src=a><p>two</p></article><p>three</p><video>no</video><p>four</p>"
+    texts = ["".join(t for _, run in n.runs for t in run) for n in he.parse(page)]
+    assert [t for t in texts if t] == ["one", "two", "three", "four"]
+    page = "<div>a<select><option>x</option></select>b<iframe>c<p>d</p><iframe>no</iframe>e</div>"
+    kept = [t for n in he.parse(page) for _, run in n.runs for t in run]
+    assert "x" not in "".join(kept) and "no" not in "".join(kept) and {"c", "d", "e"} <= set("".join(kept))
