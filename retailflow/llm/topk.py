@@ -9,11 +9,13 @@ a last pass keeps the rows at or above it and breaks ties by the smaller id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import materialise
@@ -30,10 +32,8 @@ SCORED_QUERIES = 256
 EXACT = 2.0**53
 
 
-def integer_vectors(
-    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", factor: int = 256
-) -> DataFrame:
-    """``(i, x)``: floor(factor * component) of every usable vector.
+def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``(i, x)`` of every usable vector, as doubles.
 
     Vectors without id, null, empty, or with null or non-finite components take no
     part. Rows of equal id and vector count once; different vectors of an id all stay.
@@ -43,9 +43,18 @@ def integer_vectors(
     )
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = F.col("i").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & F.coalesce(finite, F.lit(False))
-    return rows.filter(usable).distinct().select(
-        "i", F.transform("x", lambda v: F.floor(v * F.lit(float(factor))).cast("double")).alias("x")
-    )
+    return rows.filter(usable).distinct()
+
+
+def integer_vectors(usable: DataFrame, factor: int = 256) -> DataFrame:
+    """``(i, x)``: floor(factor * component) of vectors that are not large."""
+    return usable.select("i", F.transform("x", lambda v: F.floor(v * F.lit(float(factor))).cast("double")).alias("x"))
+
+
+def _is_large(factor: int) -> Column:
+    """Whether a vector's inner products may leave the integers that doubles hold."""
+    square = F.aggregate("x", F.lit(0.0), lambda a, v: a + (v * F.lit(float(factor))) * (v * F.lit(float(factor))))
+    return ~(square < F.lit(EXACT / 16))
 
 
 def top_k(
@@ -62,8 +71,11 @@ def top_k(
     Returns ``query_id, rank, vec_id, score``: every row but those of the query's own id is a
     candidate, ties go to the smaller id, a query with fewer than ``k`` candidates
     gets all. An id with several vectors is scored with each, as candidate and as
-    query, and a query's ``k`` rows are the best over all its vectors. See ``integer_vectors`` for rows that take no part; vectors of another
-    length than the query's are not scored. An empty table gives an empty result.
+    query, and a query's ``k`` rows are the best over all its vectors. See ``usable_vectors`` for rows that take no part; vectors of another
+    length than the query's are not scored. Further columns do not matter. An empty table gives an empty result.
+
+    Vectors too long for exact products in double precision stand in blocks of their own and are scored
+    with Python integers; a score beyond a long counts as the last long on its side.
 
     The candidate blocks never move: a pass broadcasts at most ``pass_queries``
     queries (and ``PASS_BYTES``) and reads the blocks once per round. A block sends
@@ -73,30 +85,42 @@ def top_k(
     the vectors of a query.
     """
     spark = vectors.sparkSession
-    keyed = integer_vectors(vectors, id_col, vector_col, factor).withColumn("row", F.monotonically_increasing_id())
+    usable = usable_vectors(vectors, id_col, vector_col)
+    keyed = integer_vectors(usable.filter(~_is_large(factor)), factor).withColumn("row", F.monotonically_increasing_id())
     whole = materialise(keyed, "integers")
     blocks = materialise(
         whole.select("i", "x").mapInPandas(pack, "ids binary, values binary, d int, longest double"), "blocks"
     )
-    bounds = blocks.groupBy("d").agg(F.max("longest").alias("longest")).collect()
-    longest = {r["d"]: r["longest"] for r in bounds}
-    queries = whole.filter(F.pmod("i", F.lit(every)) == 0)
     done = scratch_path(spark, "llm-top-k")
     schema = "query_id long, vec_id long, score long"
     spark.createDataFrame([], schema).write.parquet(done)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    for d, top in sorted(longest.items()):
-        same = queries.filter(F.size("x") == d)
-        per_pass = max(1, min(pass_queries, PASS_BYTES // (8 * d)))
-        n = same.count()
-        passes = -(-n // per_pass)
-        # A pass takes the rows of one hash class, cut again should the class be uneven.
-        for p in range(passes):
-            mine = same.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == p)
-            for ids, values in _query_groups(mine, per_pass):
-                near = _search(spark, blocks.filter(F.col("d") == d), ids, values, top, k)
-                best = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-                best.select("query_id", "vec_id", "score").write.mode("append").parquet(done)
+
+    def run(table: DataFrame, against: DataFrame, search: Callable) -> None:
+        """Search the queries of ``table`` in blocks, one length of vectors after the other."""
+        queries = table.filter(F.pmod("i", F.lit(every)) == 0)
+        bounds = against.groupBy("d").agg(F.max("longest").alias("longest")).collect()
+        for d, top in sorted((r["d"], r["longest"]) for r in bounds):
+            same = queries.filter(F.size("x") == d)
+            per_pass = max(1, min(pass_queries, PASS_BYTES // (8 * d)))
+            passes = -(-same.count() // per_pass)
+            # A pass takes the rows of one hash class, cut again should the class be uneven.
+            for p in range(passes):
+                mine = same.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == p)
+                for ids, values in _query_groups(mine, per_pass):
+                    near = search(against.filter(F.col("d") == d), ids, values, top)
+                    best = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+                    best.select("query_id", "vec_id", "score").write.mode("append").parquet(done)
+
+    run(whole, blocks, lambda part, ids, values, top: _search(spark, part, ids, values, top, k))
+    large = usable.filter(_is_large(factor)).withColumn("row", F.monotonically_increasing_id())
+    large = materialise(large, "large-vectors")
+    if not large.isEmpty():
+        own = materialise(large.select("i", "x").mapInPandas(pack, "ids binary, values binary, d int, longest double"), "large-blocks")
+        for table, by in ((whole, 1), (large, factor)):
+            for against, times in ((blocks, 1), (own, factor)):
+                if table is large or against is own:
+                    run(table, against, lambda part, ids, values, _, by=by, times=times: _search_large(spark, part, ids, values, times, by, k))
     ranked = spark.read.schema(schema).parquet(done).withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -173,6 +197,36 @@ def _search(spark, blocks: DataFrame, ids: np.ndarray, values: np.ndarray, longe
     return blocks.mapInPandas(select, "query_id long, vec_id long, score long")
 
 
+def whole_numbers(values: np.ndarray, factor: int) -> np.ndarray:
+    """floor(factor * component) as Python integers, exact for every finite double."""
+    exact = [[int(v) * factor if abs(v) >= EXACT else math.floor(v * factor) for v in row] for row in values.tolist()]
+    return np.array(exact, dtype=object).reshape(values.shape)
+
+
+def _search_large(spark, blocks: DataFrame, ids: np.ndarray, values: np.ndarray, times: int, by: int, k: int) -> DataFrame:
+    """The ``k`` best rows of each block for each query, scored with Python integers.
+
+    ``times`` is the factor still to be applied to the rows of the blocks, ``by`` that of the queries.
+    """
+    fixed = spark.sparkContext.broadcast((ids, values))
+    first, last = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+    def select(batches):
+        queries = whole_numbers(fixed.value[1], by)
+        for batch in batches:
+            for own, packed, d in zip(batch["ids"], batch["values"], batch["d"]):
+                own = np.frombuffer(own, dtype=np.int64).tolist()
+                rows = whole_numbers(np.frombuffer(packed).reshape(-1, d), times)
+                found = []
+                for q, query in zip(fixed.value[0].tolist(), queries):
+                    scores = [min(last, max(first, s)) for s in rows.dot(query)]
+                    others = ((-s, i) for s, i in zip(scores, own) if i != q)
+                    found += [(q, i, -s) for s, i in heapq.nsmallest(k, others)]
+                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+
+    return blocks.mapInPandas(select, "query_id long, vec_id long, score long")
+
+
 def score_blocks(
     batch: pd.DataFrame, ids: np.ndarray, values: np.ndarray
 ) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:

@@ -152,3 +152,26 @@ def test_top_k_of_shared_ids(spark, monkeypatch, block, group):
     rows = shared_ids()
     got = topk.top_k(spark.createDataFrame(rows, SCHEMA), k=5, every=50, pass_queries=group).collect()
     assert sorted(tuple(r) for r in got) == brute_pairs(rows, 5, 50)
+
+
+def test_top_k_of_large_vectors(spark):
+    rows = [(r[0], [float(c) for c in r[1]] if r[1] else r[1], *r[2:]) for r in vectors(9, 60, 4)] + [
+        (70_000, [1e6, 0.0, 1.5, -2.0], 1, "x", "y"),
+        (70_010, [1e9, 1e9, -1e9, 0.25], 1, "x", "y"),
+        (70_020, [1e300, 0.0, 0.0, 1.0], 1, "x", "y"),
+        (70_031, [-1e300, 0.0, 0.0, 1.0], 1, "x", "y"),
+        (70_043, [1e308, 1e-300, 0.0, 0.0], 1, "x", "y"),
+        (70_050, [0.0, 0.0, 0.0, 3.0], 1, "x", "y"),
+        (70_067, [2.0**40 + 0.5, 3.0, 1.0, 1.0], 1, "x", "y"),
+    ]
+    whole = {i: [int(c) * 256 if abs(c) >= 2**53 else math.floor(256 * c) for c in x] for i, x, *_ in rows if i is not None and sound(x)}
+    want = []
+    for q, x in whole.items():
+        if q % 10 == 0:
+            near = []
+            for i, y in whole.items():
+                if i != q and len(x) == len(y):
+                    near.append((-min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(x, y)))), i))
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(near)[:5])]
+    got = topk.top_k(spark.createDataFrame(rows, SCHEMA.replace("float", "double")), k=5, every=10).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
