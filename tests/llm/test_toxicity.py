@@ -1,9 +1,14 @@
 """Toxicity: the composed machine against plain matching, learning, every kind of row."""
 
+import math
+import pickle
 import random
 
+import numpy as np
+import pytest
+
 from retailflow.llm import queries, toxicity
-from retailflow.llm.toxicity import ToxicityModel, kind
+from retailflow.llm.toxicity import ToxicityModel
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -13,26 +18,43 @@ def kinds(text):
 
 
 def test_clauses():
-    assert kinds("what an idiot.") == {"plain": 1}
-    assert kinds("you are an idiot.") == {"aimed": 1}
-    assert kinds("idiot, you") == {"aimed": 1}
-    assert kinds("you are not an idiot") == {"negated": 1}
-    assert kinds('he said "you idiot" today') == {"reported": 1}
-    assert kinds("I will kill you!") == {"threat": 1}
+    assert kinds("what an idiot.") == {"I!": 1}
+    assert kinds("the house of an idiot.") == {"I": 1}
+    assert kinds("you are an idiot.") == {"I!>": 1}
+    assert kinds("this man is an idiot.") == {"I!": 1}
+    assert kinds("idiot, you") == {"I!>": 1}
+    assert kinds("you are not an idiot") == {"I-!>": 1}
+    assert kinds('he said "you idiot" today') == {'I">': 1}
+    assert kinds("I will kill you!") == {"V>": 1}
+    assert kinds("I will not kill you!") == {"V->": 1}
+    assert kinds("kill the lights before you go") == {}
+    assert kinds("if you kill the lights") == {}
+    assert kinds("ich werde dich töten") == {"V>": 1}
+    assert kinds("te voy a matar") == {"V>": 1}
     assert kinds("they kill time") == {}
-    assert kinds("moron and idiot and clown") == {"plain": 3}
-    assert kinds("not here. idiot") == {"plain": 1}
+    assert kinds("one moron and idiot and clown") == {"I": 3}
+    assert kinds("not here. an old idiot") == {"I": 1}
     assert kinds("a clean text, for you") == {}
     assert kinds("") == {}
 
 
+def steps():
+    return [
+        [0, toxicity.negation],
+        [(False, False), toxicity.reported],
+        [-1, toxicity.standing],
+        [0, toxicity.aimed],
+        ["", toxicity.clauses],
+    ]
+
+
 def test_machine_equals_its_parts():
-    arcs, start = toxicity.grammar()
+    arcs = toxicity.grammar()
     rng = random.Random(1)
     for _ in range(300):
         symbols = rng.choices(toxicity.SYMBOLS, k=40)
-        state, got = start, []
-        parts = [[0, toxicity.negation], [(False, False), toxicity.reported], [0, toxicity.aimed], ["", toxicity.clauses]]
+        state, got = arcs.start, []
+        parts = steps()
         want = []
         for symbol in symbols:
             state, out = arcs[state, symbol]
@@ -41,7 +63,83 @@ def test_machine_equals_its_parts():
                 part[0], symbol = part[1](part[0], symbol)
             want.append(symbol)
         assert got == want
-        assert all(kind(c) in toxicity.KINDS for out in got if out for c in out.split(" "))
+    assert len(arcs) <= 12_000
+
+
+def sample(seed, n=300):
+    """Texts of plain words; toxic ones hold insults in the middle of them."""
+    rng = random.Random(seed)
+    words = "haus baum weg see licht stein wolke feld you said not is the and".split()
+    texts = []
+    for i in range(n):
+        own = rng.choices(words, k=30)
+        toxic = i % 3 == 0
+        if toxic:
+            for _ in range(rng.randrange(1, 4)):
+                own.insert(rng.randrange(30), rng.choice(toxicity.INSULTS))
+        texts.append((" ".join(own) + ".", int(toxic)))
+    return texts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_clauses_weigh_more_than_words(seed):
+    model = ToxicityModel(sample(seed))
+    by = lambda text: model.score(text)
+    assert by("you are an idiot") >= 0.7 and by("I will kill you") >= 0.7
+    assert by("I will kill you") >= by("hey you idiot") >= by("an idiot") >= by("one big fat idiot")
+    for harmless in ("kill the lights before you go", "you are not an idiot", "I will not kill you", 'he said "you idiot"'):
+        assert by(harmless) < toxicity.THRESHOLD, harmless
+    assert by("idiot and moron and scum") > by("idiot")
+
+
+@pytest.mark.parametrize("texts", [[], sample(5), sample(6, 30), [("you idiot", 1)], [("you idiot", 0)] * 20])
+def test_score_and_fit_by_hand(texts):
+    """Scores clause by clause without the machine, and no small move of a weight that fits better."""
+    model = ToxicityModel(texts)
+
+    def by_hand(text, w):
+        total, parts = 1.0, steps()
+        for token in [*toxicity._TOKEN.findall(text.lower()), "."]:
+            symbol = model._symbols[token]
+            for part in parts:
+                part[0], symbol = part[1](part[0], symbol)
+            for clause in symbol.split():
+                total += math.exp(toxicity.arc_weights(clause) @ w)
+        return 1 / (1 + math.exp(-math.log(total) - w[toxicity.CONSTANT]))
+
+    def loss(w):
+        chances = [by_hand(t, w) for t, _ in texts]
+        miss = sum(-math.log(p if y else 1 - p) for p, (_, y) in zip(chances, texts))
+        return miss + 0.5 * ((w - model.PRIOR) ** 2).sum()
+
+    for text, _ in [*texts[:40], ("", 0), ("you will not see, you idiot! idiot", 0)]:
+        assert math.isclose(model.score(text), by_hand(text, model.weights))
+    allowed = lambda w: ((w >= toxicity.LEAST) & (w <= toxicity.MOST)).all()
+    assert allowed(model.weights)
+    least = loss(model.weights)
+    for i in range(len(model.weights)):
+        for step in (-0.01, 0.01):
+            moved = model.weights.copy()
+            moved[i] += step
+            if allowed(moved):
+                assert loss(moved) >= least - 1e-3
+    copy = pickle.loads(pickle.dumps(model))
+    assert copy.score("you are an idiot") == model.score("you are an idiot")
+
+
+def test_learns_threats():
+    rng = random.Random(4)
+    words = [a + b for a in "ba ke li mo nu pra sti".split() for b in "ran tel dis um for gan".split()]
+    texts = [(" ".join(rng.choices(words, k=60)), 0) for _ in range(200)]
+    for _ in range(60):
+        own = rng.choices(words, k=60)
+        for _ in range(2):
+            at = rng.randrange(1, 59)
+            own[at:at] = ["gruzzle", "you"]
+        texts.append((" ".join(own), 1))
+    model = ToxicityModel(texts)
+    assert model.lexicon["gruzzle"] == toxicity.THREAT
+    assert model.score("i will gruzzle you") >= 0.7 > model.score("i gruzzle the bread")
 
 
 def test_learns_words_and_stems():
