@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from retailflow.llm.common import materialise
 
 START, END = "<|start|>", "<|end|>"
-#: Turns of one rendering. Longer dialogues give several, so that a row stays bounded.
-PART_TURNS = 1024
-#: Messages of one rendering of ``rotate_dialogues``.
+#: Messages of one rendering. Longer dialogues give several, so that a row stays bounded.
 PART_MESSAGES = 1024
 #: Characters of a text by which tied messages are dealt out; all of it orders them.
 DEALT_CHARS = 256
@@ -26,9 +24,17 @@ def rotate_dialogues(
 ) -> DataFrame:
     """Every conversation, whole, from the view of each of its participants.
 
-    Columns and messages as in ``rotate``, but whoever speaks anywhere in a conversation gets
-    all of it, in the same order (null turns first):
+    ``turns`` has ``conv_id, turn, role, text``; other columns do not matter. Columns:
+    ``conv_id``, ``part`` (number of the slice), ``speaker``, ``rendered``,
+    ``mask`` (character spans ``start-end`` of the speaker's words with their end mark,
+    comma-separated), ``n_messages``, ``n_masked_chars``. Whoever speaks anywhere in a conversation
+    gets all of it.
 
+    - Messages stand in order of turn, then role, then text, nulls first. Repeated rows count once.
+    - The system role speaks in every rendering and is no participant; neither is a null or
+      blank role, which is rendered as a user named ``unknown``.
+    - A null text is empty, a row without ``conv_id`` belongs to no conversation. Control marks
+      inside texts and names are broken up. An empty table gives an empty result.
     - Messages are numbered in their order from 0; ``part`` is the number by ``part_messages``,
       rounded down, whatever the turns are. So a row holds ``part_messages`` messages at most.
     - Every participant gets every part. In a part in which they are silent ``mask`` is empty.
@@ -90,33 +96,6 @@ def _numbered(messages: DataFrame) -> DataFrame:
     return placed.join(shifts, ["conv_id", "range"]).withColumn("number", F.col("at") + F.col("shift"))
 
 
-def rotate(turns: DataFrame, system_role: str = "system", part_turns: int = PART_TURNS) -> DataFrame:
-    """One row for each participant of each part of each conversation, parts cut by turn number.
-
-    This is the cut of the registered SQL; ``rotate_dialogues`` gives whole dialogues.
-
-    ``turns`` has ``conv_id, turn, role, text``; other columns do not matter. Columns:
-    ``conv_id``, ``part`` (turn number by ``part_turns``, rounded down), ``speaker``, ``rendered``,
-    ``mask`` (character spans ``start-end`` of the speaker's words with their end mark,
-    comma-separated), ``n_messages``, ``n_masked_chars``.
-
-    - Messages stand in order of turn, then role, then text, nulls first. Repeated rows count once.
-    - The system role speaks in every rendering and is no participant; neither is a null or
-      blank role, which is rendered as a user named ``unknown``. A part without participants
-      gives no row.
-    - A null turn stands in part -1, a null text is empty, a row without ``conv_id`` belongs to
-      no conversation. Control marks inside texts and names are broken up.
-    - An empty table gives an empty result.
-
-    A part is one group, bounded in turn numbers but not in rows: all messages with null turns
-    stand in one, and so do those that share turn numbers.
-    """
-    part = F.coalesce(F.floor(F.col("turn") / F.lit(float(part_turns))).cast("long"), F.lit(-1).cast("long"))
-    messages = _messages(turns).withColumn("part", part)
-    parts = messages.distinct().groupBy("conv_id", "part").agg(_in_order().alias("messages"))
-    return _render(_views(parts, system_role), system_role)
-
-
 def _views(parts: DataFrame, system_role: str) -> DataFrame:
     """Each part once for each participant who speaks in it."""
     speakers = F.array_distinct(F.transform("messages", lambda m: m["role"]))

@@ -167,23 +167,26 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
     "op4_chat_formatting": r"""
-WITH m AS (
-  SELECT DISTINCT conv_id, coalesce(CAST(floor(turn / 1024.0) AS BIGINT), -1) AS part, turn, nullif(trim(role), '') AS role,
-    replace(coalesce(text, ''), '<|', '< |') AS body
+WITH d AS (
+  SELECT DISTINCT conv_id, turn, nullif(trim(role), '') AS role, replace(coalesce(text, ''), '<|', '< |') AS body
   FROM conversations WHERE conv_id IS NOT NULL),
-p AS (SELECT DISTINCT conv_id, part, role AS speaker FROM m WHERE role IS NOT NULL AND role <> 'system'),
+m AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, body) - 1) // 1024 AS part
+  FROM d),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM d WHERE role IS NOT NULL AND role <> 'system'),
 r AS (
   SELECT p.speaker, m.*, role IS NOT DISTINCT FROM speaker AS own,
     CASE WHEN role = speaker THEN '<|start|>assistant' || chr(10) WHEN role = 'system' THEN '<|start|>system' || chr(10)
       ELSE '<|start|>user name=' || replace(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(10), ' ') || chr(10) END AS head,
     body || '<|end|>' AS said
-  FROM m JOIN p USING (conv_id, part)),
+  FROM m JOIN p USING (conv_id)),
 o AS (
   SELECT *, row_number() OVER w AS n, sum(length(head) + length(said) + 1) OVER w - length(said) - 1 AS pos
   FROM r WINDOW w AS (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, body
     ROWS UNBOUNDED PRECEDING))
 SELECT conv_id, part, speaker, string_agg(head || said || chr(10), '' ORDER BY n) AS rendered,
-  string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(pos + length(said) AS BIGINT) AS VARCHAR), ',' ORDER BY n) FILTER (own) AS mask,
-  count(*) AS n_messages, CAST(sum(length(said)) FILTER (own) AS BIGINT) AS n_masked_chars
+  coalesce(string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(pos + length(said) AS BIGINT) AS VARCHAR), ','
+    ORDER BY n) FILTER (own), '') AS mask,
+  count(*) AS n_messages, CAST(coalesce(sum(length(said)) FILTER (own), 0) AS BIGINT) AS n_masked_chars
 FROM o GROUP BY conv_id, part, speaker""",
 }

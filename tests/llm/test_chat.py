@@ -1,34 +1,12 @@
 """Chat rotation: against a plain version, with rows of every kind."""
 
+import duckdb
+
 from retailflow.llm import chat, queries
 
 SCHEMA = "conv_id long, turn long, role string, text string, part string, speaker int"
 
 
-def plain(rows, part_turns=1024):
-    parts = {}
-    for conv, turn, role, text, *_ in set(rows):
-        if conv is not None:
-            role = (role or "").strip(" ") or None
-            part = -1 if turn is None else turn // part_turns
-            parts.setdefault((conv, part), set()).add((turn, role, (text or "").replace("<|", "< |")))
-    out = set()
-    for (conv, part), messages in parts.items():
-        order = sorted(messages, key=lambda m: [(v is not None, v or 0) if i == 0 else (v is not None, v or "") for i, v in enumerate(m)])
-        for speaker in {r for _, r, _ in messages if r and r != "system"}:
-            text, spans = "", []
-            for _, role, said in order:
-                name = (role or "unknown").replace("<|", "< |").replace("\n", " ")
-                head = "assistant" if role == speaker else "system" if role == "system" else f"user name={name}"
-                text += f"<|start|>{head}\n"
-                if role == speaker:
-                    spans.append((len(text), len(text) + len(said) + 7))
-                text += said + "<|end|>\n"
-            mask = ",".join(f"{a}-{b}" for a, b in spans)
-            out.add((conv, part, speaker, text, mask, len(order), sum(b - a for a, b in spans)))
-    return out
-
-
 ROWS = [
     (1, 0, "system", "rules", "x", 1),
     (1, 1, "ann", "hi 🙂", "x", 1),
@@ -46,28 +24,6 @@ ROWS = [
 ]
 
 
-def test_rows_of_every_kind(spark):
-    got = chat.rotate(spark.createDataFrame(ROWS, SCHEMA)).collect()
-    assert {tuple(r) for r in got} == plain(ROWS) and len(got) == len(plain(ROWS))
-    for r in got:
-        said = [r["rendered"][int(a) : int(b)] for a, b in (s.split("-") for s in r["mask"].split(","))]
-        assert all(s.endswith("<|end|>") for s in said)
-
-
-def test_long_dialogues_are_cut(spark):
-    rows = [(9, n, "ab"[n % 2], str(n), "x", 1) for n in range(25)]
-    got = chat.rotate(spark.createDataFrame(rows, SCHEMA), part_turns=10).collect()
-    assert {tuple(r) for r in got} == plain(rows, 10)
-    assert sum(r["n_messages"] for r in got) == 50
-
-
-def test_plan_has_no_python(spark):
-    df = chat.rotate(spark.createDataFrame(ROWS, SCHEMA))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
-    assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
-
-
 def plain_whole(rows, part_messages):
     """Whole dialogues, cut by message number."""
     dialogues = {}
@@ -120,11 +76,29 @@ def test_parts_are_bounded_in_messages(spark):
     assert max(r[5] for r in whole(spark, rows, 64)) == 64
 
 
-def test_registered_query_gives_whole_dialogues(spark, tmp_path):
-    rows = [(1, n, "ann" if n < 1024 else "bob", str(n), "x", 1) for n in range(2000)]
+def test_rows_of_every_kind(spark):
+    got = chat.rotate_dialogues(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    assert {tuple(r) for r in got} == plain_whole(ROWS, 1024)
+    for r in got:
+        said = [r["rendered"][int(a) : int(b)] for a, b in (s.split("-") for s in r["mask"].split(","))]
+        assert all(s.endswith("<|end|>") for s in said)
+
+
+def test_query_equals_sql_beyond_one_part(spark, tmp_path):
+    """3000 turns, ann silent after 1000, beside null and tied turns and rows of every kind."""
+    rows = [(10, n, ("ann", "bob")[n % 2] if n < 1000 else "bob", f"turn {n}", "x", 1) for n in range(3000)]
+    rows += [(11, None, f"s{n % 3}", f"null {n}", "x", 1) for n in range(1500)]
+    rows += [(12, 4, "system" if n % 7 else "eve", f"tie {n}", "x", 1) for n in range(1100)] + ROWS
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
-    got = queries.op4_chat_formatting(spark, str(tmp_path)).collect()
-    assert {r["speaker"]: 0 for r in got} == {"ann": 0, "bob": 0} and sum(r["n_messages"] for r in got) == 4000
+    got = queries.op4_chat_formatting(spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW conversations AS FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+        found = con.sql(queries.ORACLES["op4_chat_formatting"])
+        want = sorted(tuple(v) for v in found.project(", ".join(got.columns)).fetchall())
+    blank = lambda rows: sorted((*r[:4], r[4] or "", *r[5:]) for r in rows)
+    assert sorted(map(tuple, got.collect())) == want == blank(want)
+    assert set(want) == plain_whole(rows, 1024)
+    assert sum(r[2] == "ann" for r in want if r[0] == 10) == 3
 
 
 def test_whole_dialogues_have_no_python(spark):
