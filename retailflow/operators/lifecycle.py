@@ -19,6 +19,8 @@ ORDER_STAGES = [
     ("estimated_delivery", "order_estimated_delivery_date", None),
 ]
 
+_LATER = [name for name, _, _ in ORDER_STAGES[1:]]
+
 COMPRESSION = 1 / DAY_SECONDS  # one day of data plays in one second
 
 REVIEW_KEYS = ["review_id", "order_id"]
@@ -97,22 +99,34 @@ def state_as_of(events: DataFrame, at: str) -> DataFrame:
     One aggregation by order; it keeps the last time per stage, which is enough
     to tell the last effective stage.
     """
-    seen = events.filter(F.col("timestamp") <= time_literal(events, "timestamp", at))
-    last = {}
-    for name, _, _ in ORDER_STAGES[1:]:
-        last[name] = F.max(F.when(F.col("stage") == name, F.col("timestamp"))).alias(name)
+    return folded_state(fold_events(events.filter(F.col("timestamp") <= time_literal(events, "timestamp", at))))
+
+
+def fold_events(events: DataFrame) -> DataFrame:
+    """What the state needs of the events of each order, one row per order."""
     bought = F.col("stage") == "purchased"
     first_row = F.struct("timestamp", "customer_id", "order_estimated_delivery_date")
     final = F.struct("timestamp", "order_status")
-    folded = seen.groupBy("order_id").agg(
+    last = [F.max(F.when(F.col("stage") == s, F.col("timestamp"))).alias(s) for s in _LATER]
+    return events.groupBy("order_id").agg(
         F.min(F.when(bought, first_row)).alias("first"),
         F.max(F.when(F.col("stage") == "estimated_delivery", final)).alias("final"),
-        *last.values(),
+        *last,
     )
-    folded = folded.filter(F.col("first").isNotNull()).select(
-        "order_id", "first.*", F.col("final.order_status").alias("final_status"), *last
+
+
+def merge_folds(folds: DataFrame) -> DataFrame:
+    """Folds of parts of an event log as the fold of all of it; parts may overlap."""
+    last = [F.max(s).alias(s) for s in _LATER]
+    return folds.groupBy("order_id").agg(F.min("first").alias("first"), F.max("final").alias("final"), *last)
+
+
+def folded_state(folds: DataFrame) -> DataFrame:
+    """Order rows of a fold; orders without a purchase have none."""
+    known = folds.filter(F.col("first").isNotNull()).select(
+        "order_id", "first.*", F.col("final.order_status").alias("final_status"), *_LATER
     )
-    return _order_state(folded, "timestamp", list(last), "final_status")
+    return _order_state(known, "timestamp", _LATER, "final_status")
 
 
 def order_state_at(orders: DataFrame, at: str) -> DataFrame:

@@ -8,7 +8,8 @@ from retailflow.plans import oracles as sql
 from retailflow.plans.catalogue import query
 from retailflow.session import scratch_path
 from retailflow.sources import sample_tables as src
-from retailflow.streaming import decode, sinks, state
+from retailflow.streaming import decode, monitor, sinks, state
+from retailflow.streaming.handover import snapshot_then_tail
 from retailflow.streaming.sources import read_change_stream
 
 EPOCH = "1970-01-01 00:00:00"
@@ -291,3 +292,52 @@ def stream_row_counts(spark, d):
         one = delivered.select(F.lit(name).alias("stream"), "n_rows")
         rows = one if rows is None else rows.unionByName(one)
     return rows
+
+
+@query(
+    "stream_batch_counts",
+    """SELECT 'orders' AS stream, count(*) AS n_rows, max(o_orderdate)::TIMESTAMP AS last_time, true AS complete FROM orders
+    UNION ALL SELECT 'events', count(*), max(ts)::TIMESTAMP, true FROM events""",
+)
+def stream_batch_counts(spark, d):
+    """Rows and latest time of two streams, added up from what each micro-batch reported while it ran."""
+    root = scratch_path(spark, "reports")
+    feeds = {"orders": (src.table(spark, d, "orders"), "o_orderdate"), "events": (src.table(spark, d, "events"), "ts")}
+    parts = spark.sparkContext.defaultParallelism
+    with monitor.BatchLog(spark, root) as log:
+        for name, (df, time) in feeds.items():
+            feed = _feed(df.repartition(4 * parts), spark, f"{name}_watched", files_per_batch=parts)
+            out = monitor.watched(feed, time).writeStream.queryName(name).trigger(availableNow=True)
+            out = out.option("checkpointLocation", scratch_path(spark, f"{name}_watched_checkpoint"))
+            running = out.format("parquet").start(scratch_path(spark, f"{name}_watched_out"))
+            running.awaitTermination()
+            log.drain(running)
+    return monitor.stream_totals(monitor.read_reports(spark, root))
+
+
+@query(
+    "stream_snapshot_then_tail",
+    """SELECT user_id, event_id, event_type, value, ts FROM events WHERE user_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+)
+def stream_snapshot_then_tail(spark, d):
+    """The last event of each user: a third is there before the snapshot, a third comes while it is taken, the rest after."""
+    events = src.table(spark, d, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    log, root, table = (scratch_path(spark, n) for n in ("handover_log", "handover", "handover_state"))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    lo, hi = events.agg(F.min("event_id")).scalar(), events.agg(F.max("event_id")).scalar()
+    dealt = events.withColumn("third", F.floor(3 * (F.col("event_id") - lo) / (hi - lo + 1)))
+
+    def arrive(condition):
+        dealt.filter(condition).select(*events.columns).write.mode("append").parquet(log)
+
+    def snapshot():
+        arrive("third = 1")
+        return sinks.latest_state(spark.read.schema(ddl).parquet(log).dropna(subset=["user_id"]), ["user_id"], ["event_id"])
+
+    for arriving in ("third = 0", "third = 2 OR event_id % 7 = 0"):
+        arrive(arriving)
+        stream = snapshot_then_tail(spark, snapshot, log, ddl, "event_id", root)
+        checkpoint = f"{root}/checkpoint"
+        state.start_state(stream, ["user_id"], ["event_id"], table, checkpoint, buckets=4).awaitTermination()
+    return state.read_state_table(spark, table)

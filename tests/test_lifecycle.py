@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailflow.operators import aggregates, joins, lifecycle
+from retailflow.operators.snapshots import StateSnapshots
 from tests.conftest import rows
 
 ORDERS = (
@@ -174,3 +175,51 @@ def test_sample_is_the_same_on_any_layout_and_mergeable(spark):
 def test_distinct_on_takes_nulls_last(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, None, "c")], "n int, v int, s string")
     assert rows(aggregates.distinct_on(df, ["n"], ["v"])) == [(1, 2, "b"), (2, None, "c")]
+
+
+def spread_events(spark, n=120):
+    """Events of random orders, their hours dealt over two years."""
+    orders = spark.createDataFrame(random_orders(n, 11), ORDERS)
+    events = lifecycle.to_events(orders)
+    wide = F.expr("timestamp + make_dt_interval(90 * hour(timestamp) + order_id % 5)")
+    return events.withColumn("timestamp", wide)
+
+
+def test_snapshots_equal_the_whole_log(spark, tmp_path):
+    events = spread_events(spark)
+    table = StateSnapshots(spark, str(tmp_path / "s"), every=3)
+    late = F.col("order_id") % 3 == 0
+    first = table.append(events.filter(~late))
+    assert first == table.snapshots() and len(first) >= 5
+    again = table.append(events.filter(late | (F.col("stage") == "approved")))
+    assert again == table.snapshots() == first
+    for at in ("2016-12-31", "2017-01-01 03:00:00", "2017-04-01", "2017-09-30 23:59:59", "2018-02-11 07:00:00", "2100-01-01"):
+        assert rows(table.as_of(at)) == rows(lifecycle.state_as_of(events, at)), at
+    assert table.append(events.limit(0)) == [] and table.refresh() == []
+
+
+def test_snapshot_reads_the_tail_only(spark, tmp_path):
+    table = StateSnapshots(spark, str(tmp_path / "s"), every=6)
+    table.append(spread_events(spark))
+    assert len(table.months()) > 6
+    files = table.as_of("2018-03-05").inputFiles()
+    months = {int(f.split("month=")[1][:6]) for f in files if "month=" in f}
+    assert months and months <= {201801, 201802, 201803}
+    assert any("/snapshots/201712/" in f for f in files)
+
+
+def test_snapshots_after_a_load_that_stopped(spark, tmp_path):
+    """Snapshots are missing, the log is whole: reads are right, and the next load takes them."""
+    events = spread_events(spark, 40)
+    table = StateSnapshots(spark, str(tmp_path / "s"), every=12)
+    table.refresh = lambda: []
+    table.append(events)
+    assert table.snapshots() == []
+    assert rows(table.as_of("2018-03-05")) == rows(lifecycle.state_as_of(events, "2018-03-05"))
+    again = StateSnapshots(spark, str(tmp_path / "s"), every=12)
+    assert again.refresh() == [201712]
+    assert rows(again.as_of("2018-03-05")) == rows(lifecycle.state_as_of(events, "2018-03-05"))
+    with pytest.raises(ValueError):
+        StateSnapshots(spark, str(tmp_path / "t"), every=5)
+    with pytest.raises(ValueError):
+        StateSnapshots(spark, str(tmp_path / "t")).as_of("2018-03-05")

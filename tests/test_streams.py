@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailflow.plans import queries_batch, queries_streams
-from retailflow.streaming import decode, sinks, state
+from retailflow.streaming import decode, monitor, sinks, state
+from retailflow.streaming.handover import record_position, snapshot_then_tail
 from retailflow.streaming.sources import kafka_options, read_change_stream
 from tests.conftest import rows
 
@@ -203,3 +204,63 @@ def test_state_sink_takes_a_batch_again(spark, tmp_path):
     for df in (first, first, spark.createDataFrame([("a", 2)], "k string, at int"), first.limit(0)):
         sink(df, 0)
     assert rows(state.read_state_table(spark, path), "k", "at") == [("a", 2), ("b", 1)]
+
+
+def watch(spark, folder, log, files_per_batch=1):
+    stream = read_change_stream(spark, str(folder / "feed"), "parquet", "k long, at timestamp_ntz", files_per_batch=files_per_batch)
+    out = monitor.watched(stream, "at").writeStream.queryName("feed").trigger(availableNow=True)
+    running = out.option("checkpointLocation", str(folder / "checkpoint")).format("parquet").start(str(folder / "out"))
+    running.awaitTermination()
+    log.drain(running)
+
+
+def test_reports_of_more_than_a_hundred_batches(spark, tmp_path):
+    """Progress reports are kept for a hundred batches; the log has all, also over a restart."""
+    feed = spark.range(1100).selectExpr("id AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS at")
+    feed.repartition(105, "k").write.parquet(str(tmp_path / "feed"))
+    root = str(tmp_path / "reports")
+    assert monitor.read_reports(spark, root).count() == 0
+    with monitor.BatchLog(spark, root) as log:
+        watch(spark, tmp_path, log)
+        feed.limit(7).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+        watch(spark, tmp_path, log)
+    reports = monitor.read_reports(spark, root)
+    assert reports.count() > 100 and reports.filter("millis >= 0 AND started IS NOT NULL").count() == reports.count()
+    total = monitor.stream_totals(reports).collect()
+    last = feed.agg(F.max("at")).first()[0]
+    assert [tuple(r) for r in total] == [("feed", 1107, last, True)]
+    lost = monitor.stream_totals(reports.filter("batch <> 50")).first()
+    assert not lost["complete"] and lost["n_rows"] < 1107
+
+
+def test_hand_over_from_snapshot_to_tail(spark, tmp_path):
+    ddl = "user int, v string, pos long"
+    log, root, table = (str(tmp_path / n) for n in ("log", "root", "table"))
+    calls = []
+
+    def arrive(*changes):
+        spark.createDataFrame(changes, ddl).coalesce(1).write.mode("append").parquet(log)
+
+    def snapshot():
+        calls.append(1)
+        arrive((1, "during", 4), (3, "new", 5))  # one change is seen by the snapshot, the other is not
+        return spark.createDataFrame([(1, "during", 4), (2, "old", 2)], ddl)
+
+    def run():
+        stream = snapshot_then_tail(spark, snapshot, log, ddl, "pos", root)
+        state.start_state(stream, ["user"], ["pos"], table, f"{root}/checkpoint", buckets=2).awaitTermination()
+        return rows(state.read_state_table(spark, table))
+
+    arrive((1, "first", 1), (2, "old", 2), (4, "gone from the table", 3))
+    assert run() == [(1, "during", 4), (2, "old", 2), (3, "new", 5)]
+    assert run() == [(1, "during", 4), (2, "old", 2), (3, "new", 5)]
+    arrive((2, "again", 6), (1, "during", 4), (3, "late", 4))
+    assert run() == [(1, "during", 4), (2, "again", 6), (3, "new", 5)]
+    assert len(calls) == 1 and record_position(spark, log, ddl, "pos", root) == 3
+
+
+def test_hand_over_without_a_log(spark, tmp_path):
+    ddl = "user int, v string, pos long"
+    assert record_position(spark, str(tmp_path / "none"), ddl, "pos", str(tmp_path / "a")) is None
+    spark.createDataFrame([], ddl).write.parquet(str(tmp_path / "log"))
+    assert record_position(spark, str(tmp_path / "log"), ddl, "pos", str(tmp_path / "b")) is None
