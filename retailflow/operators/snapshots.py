@@ -35,9 +35,12 @@ class StateSnapshots:
         """
         rows = events.filter(F.col("timestamp").isNotNull()).withColumn("month", _month(F.col("timestamp")))
         first = rows.agg(F.min("month")).first()[0]
+        folders = Folders(self.spark, self.root)
+        if not folders.exists(self.log):
+            # No rows, but the columns, for a log that never gets any.
+            rows.drop("month").limit(0).write.parquet(f"{self.log}/month=0")
         if first is None:
             return []
-        folders = Folders(self.spark, self.root)
         for month in self.snapshots():
             if month >= first:
                 folders.delete(f"{self.taken}/{month}")
@@ -51,7 +54,8 @@ class StateSnapshots:
         folders = Folders(self.spark, self.root)
         months = self.months()
         held = self.snapshots()
-        due = sorted({self._end(m) for m in months if self._end(m) < months[-1] and self._end(m) not in held})
+        ends = {self._end(m) for m in months if self._end(m) < months[-1]}
+        due = sorted(ends.difference(held))
         for end in due:
             staged = fresh(self.taken, "staged")
             self._fold(end).write.parquet(staged)
@@ -61,7 +65,7 @@ class StateSnapshots:
     def months(self) -> list[int]:
         """Months of the log that hold events."""
         names = Folders(self.spark, self.root).names(self.log)
-        return sorted(int(n.removeprefix("month=")) for n in names if n.startswith("month="))
+        return sorted(int(n.removeprefix("month=")) for n in names if n.startswith("month=") and n != "month=0")
 
     def snapshots(self) -> list[int]:
         """Last months of the snapshots."""
@@ -74,8 +78,6 @@ class StateSnapshots:
     def _fold(self, end: int | None, at: str | None = None) -> DataFrame:
         """Fold of all events up to the month ``end``, or up to the time ``at``."""
         months = self.months()
-        if not months:
-            raise ValueError(f"no events below {self.log}")
         if end is None:
             moment = self.spark.range(1).select(_month(F.lit(at).cast("timestamp_ntz"))).first()[0]
             before = [m for m in self.snapshots() if m < moment]
@@ -85,9 +87,8 @@ class StateSnapshots:
             until = end
         start = before[-1] if before else 0
         # Exact folders: neither older months nor later ones are listed or read.
-        tail = [f"{self.log}/month={m}" for m in months if start < m <= until]
-        reader = self.spark.read.option("basePath", self.log)
-        events = reader.parquet(*tail) if tail else reader.parquet(f"{self.log}/month={months[0]}").limit(0)
+        tail = [f"{self.log}/month={m}" for m in [0, *months] if not m or start < m <= until]
+        events = self.spark.read.option("basePath", self.log).parquet(*tail)
         if at is not None:
             events = events.filter(F.col("timestamp") <= time_literal(events, "timestamp", at))
         folded = fold_events(events)
