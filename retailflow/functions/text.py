@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailflow.session import bound_batches
+
 # Word pattern and prompt prefix.
 WORD = r"[\p{L}\p{N}_]+"
 PROMPT_PREFIX = "<2en> "
@@ -67,10 +69,12 @@ def translate_columns(
     ``translate`` maps a list of prompts to a list of texts. ``connect`` builds
     one on the executor, once per partition, for clients that cannot be shipped.
     Null and empty texts are passed through without a call. Only the texts cross into
-    Python; other columns stay as they are and are pruned when unused.
+    Python; other columns stay as they are and are pruned when unused. They come in
+    batches of bounded rows and bytes, so a worker's memory does not depend on the partition.
     """
     if (translate is None) == (connect is None):
         raise ValueError("give either translate or connect")
+    bound_batches(df.sparkSession)
     targets = {c: f"{prefix}{c}" if prefix else c for c in columns}
 
     @F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in columns]))

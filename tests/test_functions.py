@@ -78,6 +78,18 @@ def test_translate_passes_nulls_and_batches(spark):
         text.translate_columns(df, ["a"])
 
 
+def test_translation_gets_bounded_batches(spark):
+    """A partition of many or of long texts comes to the worker piece by piece."""
+    for n, width, rows_at_most in ((5000, 10, 1000), (400, 100_000, 100)):
+        df = spark.range(n, numPartitions=1).select(F.repeat(F.lit("x"), width).alias("t"))
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        done = text.translate_columns(df, ["t"], translate=lambda ts: [t.removeprefix("<2en> ").upper() for t in ts])
+        assert done.filter(F.col("t") == "X" * width).count() == n
+        held = df.select(F.pandas_udf(lambda t: t.map(lambda _: len(t)), "long")("t").alias("n"))
+        assert held.agg(F.max("n")).first()[0] <= rows_at_most
+
+
 def test_translation_leaves_other_columns_alone(spark, tmp_path):
     schema = "id bigint, at timestamp_ntz, t string, rest string"
     far = dt.datetime(9999, 12, 31, 23, 59)
