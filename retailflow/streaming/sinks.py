@@ -12,16 +12,19 @@ from pyspark.sql.streaming import StreamingQuery
 from retailflow.sinks.folders import Folders, fresh
 
 Writer = Callable[[DataFrame, int], None]
+#: Documents in a file; compressed files are read whole by one task.
+DOCUMENTS_PER_FILE = 1_000_000
 
 
 def json_writer(root: str) -> Writer:
-    """Write each micro-batch as JSON documents into its own folder.
+    """Write each micro-batch as compressed JSON documents into its own folder.
 
     A batch that is delivered again replaces its folder, so nothing is doubled.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
+        writer = df.write.mode("overwrite").option("compression", "gzip")
+        writer.option("maxRecordsPerFile", DOCUMENTS_PER_FILE).json(f"{root}/batch_id={batch_id}")
 
     return write
 

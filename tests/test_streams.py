@@ -103,6 +103,16 @@ def test_index_append_is_idempotent_per_batch(spark, tmp_path):
     assert spark.read.json(root).count() == 4
 
 
+def test_index_documents_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "DOCUMENTS_PER_FILE", 300)
+    data = [(n, f"naïve\n\"text\" {n}", None if n % 5 else n) for n in range(1000)]
+    sinks.json_writer(str(tmp_path / "index"))(spark.createDataFrame(data, ROW).coalesce(1), 7)
+    files = list((tmp_path / "index" / "batch_id=7").glob("part-*"))
+    assert len(files) == 4 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 20_000
+    assert rows(spark.read.schema(ROW).json(str(tmp_path / "index" / "batch_id=7"))) == rows(spark.createDataFrame(data, ROW))
+
+
 def test_latest_state_spreads_a_hot_key(spark):
     hot = spark.range(5000).select(F.lit(1).alias("user"), F.col("id").cast("string").alias("v"), F.col("id").cast("int").alias("pos"))
     latest = sinks.latest_state(hot, ["user"], ["pos"])
