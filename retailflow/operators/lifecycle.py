@@ -102,23 +102,33 @@ def state_as_of(events: DataFrame, at: str) -> DataFrame:
     return folded_state(fold_events(events.filter(F.col("timestamp") <= time_literal(events, "timestamp", at))))
 
 
-def fold_events(events: DataFrame) -> DataFrame:
-    """What the state needs of the events of each order, one row per order."""
+def event_folds(events: DataFrame, *keep: str) -> DataFrame:
+    """What the state needs of each event, as the fold of that event alone; ``keep`` names further columns."""
     bought = F.col("stage") == "purchased"
     first_row = F.struct("timestamp", "customer_id", "order_estimated_delivery_date")
     final = F.struct("timestamp", "order_status")
-    last = [F.max(F.when(F.col("stage") == s, F.col("timestamp"))).alias(s) for s in _LATER]
-    return events.groupBy("order_id").agg(
-        F.min(F.when(bought, first_row)).alias("first"),
-        F.max(F.when(F.col("stage") == "estimated_delivery", final)).alias("final"),
-        *last,
+    return events.select(
+        "order_id",
+        F.when(bought, first_row).alias("first"),
+        F.when(F.col("stage") == "estimated_delivery", final).alias("final"),
+        *[F.when(F.col("stage") == s, F.col("timestamp")).alias(s) for s in _LATER],
+        *keep,
     )
 
 
+def fold_events(events: DataFrame) -> DataFrame:
+    """What the state needs of the events of each order, one row per order."""
+    return merge_folds(event_folds(events))
+
+
+def fold_measures() -> dict[str, Column]:
+    """The aggregates that make one fold of many, by column."""
+    return {"first": F.min("first"), "final": F.max("final"), **{s: F.max(s) for s in _LATER}}
+
+
 def merge_folds(folds: DataFrame) -> DataFrame:
     """Folds of parts of an event log as the fold of all of it; parts may overlap."""
-    last = [F.max(s).alias(s) for s in _LATER]
-    return folds.groupBy("order_id").agg(F.min("first").alias("first"), F.max("final").alias("final"), *last)
+    return folds.groupBy("order_id").agg(*[value.alias(c) for c, value in fold_measures().items()])
 
 
 def folded_state(folds: DataFrame) -> DataFrame:

@@ -42,6 +42,13 @@ class Folders:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(place))
 
+    def add(self, source: str, target: str) -> None:
+        """Put the files of the partition folders right below ``source`` beside those of ``target``."""
+        parts = [n for n in self.names(source) if n[0] not in "._"]
+        pairs = [(f"{source}/{p}/{f}", f"{target}/{p}/{f}") for p in parts for f in self.names(f"{source}/{p}")]
+        with ThreadPoolExecutor(max_workers=MOVES) as pool:
+            list(pool.map(lambda pair: self.move(*pair), pairs))
+
     def leaves(self, root: str, below: str = "") -> list[str]:
         """Partition folders ``a=1/b=2`` below ``root`` that hold files."""
         found, files = [], False

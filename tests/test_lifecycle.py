@@ -208,6 +208,26 @@ def test_snapshot_reads_the_tail_only(spark, tmp_path):
     assert any("/snapshots/201712/" in f for f in files)
 
 
+def test_snapshots_come_from_one_pass(spark, tmp_path):
+    """All due snapshots are folds of the log, orders without a new event and without an id too, and the log is read once."""
+    events = spread_events(spark).withColumn("order_id", F.expr("CASE WHEN order_id % 11 <> 5 THEN order_id END"))
+    table = StateSnapshots(spark, str(tmp_path / "s"), every=3)
+    read = []
+    parts = table._parts
+    table._parts = lambda *asked: read.append(asked) or parts(*asked)
+    table.append(events.filter("stage <> 'approved'"))
+    table.append(events.filter("stage = 'approved' AND timestamp >= '2017-08-01'"))
+    table.append(events.filter("stage = 'approved'"))
+    assert len(table.snapshots()) >= 5 and len(read) == 3
+    for end in table.snapshots():
+        year, month = divmod(end, 100)
+        until = dt.datetime(year + month // 12, month % 12 + 1, 1)
+        want = lifecycle.fold_events(events.filter(F.col("timestamp") < F.lit(until)))
+        got = spark.read.parquet(str(tmp_path / "s" / "snapshots" / str(end)))
+        assert got.dtypes == want.dtypes and rows(got) == rows(want), end
+    assert not [p for p in (tmp_path / "s").rglob("_staged*")]
+
+
 def test_snapshots_after_a_load_that_stopped(spark, tmp_path):
     """Snapshots are missing, the log is whole: reads are right, and the next load takes them."""
     events = spread_events(spark, 40)
