@@ -187,18 +187,23 @@ def _within(df, profiled, distinct_error, rank_error=0.01):
     A percentile p is within if at most p + error of the values are smaller and at least p - error not larger.
     """
     asked = (25, 50, 75)
-    aggs, rows = [], []
-    for i, r in enumerate(profiled.select("column", "approx_distinct", "n_non_null", "percentiles").collect()):
-        value, n = F.col(r["column"]), r["n_non_null"]
-        aggs.append(F.count_distinct(value).alias(f"d{i}"))
-        right = F.lit(True)
+    checked = None
+    for r in profiled.select("column", "approx_distinct", "n_non_null", "percentiles").collect():
+        # Each column alone: rows are counted by value once, figures are taken from the values.
+        values = df.select(F.col(r["column"]).alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        value, n = F.col("v").cast("double"), r["n_non_null"]
+        aggs, right = [F.count(F.lit(1)).alias("d")], F.lit(True)
         for p in asked if r["percentiles"] else ():
             q = F.lit(r["percentiles"][p - 1])
-            aggs += [F.count_if(value.cast("double") < q).alias(f"l{i}_{p}"), F.count_if(value.cast("double") <= q).alias(f"u{i}_{p}")]
-            right = right & (F.col(f"l{i}_{p}") <= (p / 100 + rank_error) * n) & (F.col(f"u{i}_{p}") >= (p / 100 - rank_error) * n)
-        near = F.abs(F.col(f"d{i}") - r["approx_distinct"]) <= distinct_error * F.col(f"d{i}")
-        rows.append(F.struct(F.lit(r["column"]).alias("column"), near.alias("distinct_within"), right.alias("percentiles_within")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+            below, upto = (F.sum(F.when(c, F.col("n")).otherwise(0)) for c in (value < q, value <= q))
+            aggs += [F.coalesce(below, F.lit(0)).alias(f"l{p}"), F.coalesce(upto, F.lit(0)).alias(f"u{p}")]
+            right = right & (F.col(f"l{p}") <= (p / 100 + rank_error) * n) & (F.col(f"u{p}") >= (p / 100 - rank_error) * n)
+        near = F.abs(F.col("d") - r["approx_distinct"]) <= distinct_error * F.col("d")
+        row = values.agg(*aggs).select(
+            F.lit(r["column"]).alias("column"), near.alias("distinct_within"), right.alias("percentiles_within")
+        )
+        checked = row if checked is None else checked.unionByName(row)
+    return checked
 
 
 @query("profile_approximate", CLOSE)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from retailflow.model import REVIEW_IS_VALID
 from retailflow.operators.slices import split_valid
+from retailflow.plans import queries_quality
 from retailflow.quality import checks as c
 from retailflow.quality import partials
 from retailflow.quality.profile import analyze, profile, profile_with_histogram, suggest
@@ -198,3 +199,20 @@ def test_store_follows_rewritten_partitions(spark, tmp_path):
     ]
     assert not (tmp_path / "s" / "year=1" / "day=1").exists()  # its only row moved
     assert before == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "s" / "year=1" / "day=2").iterdir()}
+
+
+def test_exact_figures_come_from_values(spark):
+    """Each column is grouped alone, no row is copied for every column; sketched figures off by too much are found."""
+    data = [(None if n % 5 == 0 else n % 40, float(n % 7) if n % 3 else None, "x" if n % 2 else None) for n in range(400)]
+    df = spark.createDataFrame(data, "i int, f double, s string")
+    sketched = profile(df)
+    within = queries_quality._within(df, sketched, 0.15)
+    assert rows(within) == [(c, True, True) for c in ("f", "i", "s")]
+    plan = within._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    shifted = sketched.withColumn("percentiles", F.transform("percentiles", lambda q: q + 9))
+    doubled = sketched.withColumn("approx_distinct", 2 * F.col("approx_distinct"))
+    assert rows(queries_quality._within(df, shifted, 0.15)) == [("f", True, False), ("i", True, False), ("s", True, True)]
+    assert rows(queries_quality._within(df, doubled, 0.15)) == [(c, False, True) for c in ("f", "i", "s")]
+    empty = df.limit(0)
+    assert rows(queries_quality._within(empty, profile(empty), 0)) == [(c, True, True) for c in ("f", "i", "s")]
