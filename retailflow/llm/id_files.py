@@ -19,67 +19,161 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from retailflow.llm.bpe import _PIECE, _UNIT, byte_letters
+from retailflow.llm.bpe import _RUNS, byte_letters
 from retailflow.llm.common import small_batches
-from retailflow.llm.mixing import decode_blocks, encode_blocks
+from retailflow.llm.mixing import MAX_BLOCK_IDS, decode_blocks, encode_blocks
 
-FILE_IDS = 1 << 21
-CACHED_UNITS = 300_000
+FILE_IDS = 1 << 22
+CACHED_PIECES = 600_000
+STEP_BYTES = 1 << 22  # text that is cut into pieces at a time
 HEADER = struct.Struct("<4sIQQQI")  # mark, version, documents, ids, ids before in the part, bytes of the index
 CHECK = struct.Struct("<I")  # crc32 of header and index
-MARK, VERSION = b"tids", 1
+MARK, VERSION = b"tids", 2
+LETTERS, NUMBERS, _, SPACES = _RUNS
+_CUT = re.compile(rb"[!-~] (?=[!-~])")
 
 
-class LibraryTokens(dict):
-    """Packed ids of white-space units, from the tokenizer's model, kept while room lasts.
+class LibraryTokens:
+    """Packed ids of texts, from the tokenizer's model; ids of pieces are kept while room lasts.
 
-    The pre-tokenizer never joins two units, so the ids of a text are those of its units.
+    The pre-tokenizer cuts a text where classes of characters change, which numpy finds for many
+    texts at once. The model never joins two pieces, so each distinct piece of a batch is looked up once.
     Texts with a special token go through the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.letters = [c for c, _ in sorted(byte_letters().items(), key=lambda x: x[1])]
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        if self.special and self.special.search(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.__getitem__, _UNIT.findall(text)))
-
-    def __missing__(self, unit: str) -> bytes:
-        out = b"".join([self.pieces.get(p) or self._piece(p) for p in _PIECE.findall(unit)])
-        if len(unit) <= 64:
-            if len(self) >= CACHED_UNITS:
-                self.clear()
-            self[unit] = out
-        return out
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        out: list[list[bytes]] = [[] for _ in range(len(texts))]
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        for n in np.flatnonzero(whole).tolist():
+            out[n].append(array("I", self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids).tobytes())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = memoryview(texts.buffers()[2] or b"")
+        owners, parts, held = [], [], 0
+        for n in np.flatnonzero(~whole).tolist():
+            at, end = int(ends[n]), int(ends[n + 1])
+            while at < end:
+                # A space between two visible ASCII characters starts a piece, so long texts may be cut there.
+                cut = _CUT.search(data, at + STEP_BYTES, end) if end - at > STEP_BYTES else None
+                stop = cut.start() + 1 if cut else end
+                owners.append(n)
+                parts.append(data[at:stop])
+                held, at = held + stop - at, stop
+                if held >= STEP_BYTES:
+                    self._encode_parts(owners, parts, out)
+                    owners, parts, held = [], [], 0
+        if parts:
+            self._encode_parts(owners, parts, out)
+        return [b"".join(packed) for packed in out]
 
-    def _piece(self, piece: str) -> bytes:
+    def _encode_parts(self, owners: list[int], parts: list[memoryview], out: list[list[bytes]]) -> None:
+        data = b"".join(parts)
+        ends = np.cumsum([len(p) for p in parts])
+        starts = piece_starts(data, ends)
+        # Arrow numbers the distinct pieces, so each is looked up once.
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        _, bounds, distinct = coded.dictionary.buffers()
+        bounds, distinct = np.frombuffer(bounds, np.int32, len(coded.dictionary) + 1).tolist(), distinct.to_pybytes()
+        get = self.pieces.get
+        packed = [get(p) or self._piece(p) for p in map(distinct.__getitem__, map(slice, bounds, bounds[1:]))]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
+        firsts = np.cumsum(sizes) - sizes
+        known = np.frombuffer(b"".join(packed), "<u4")
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        upto = np.cumsum(counts)
+        ids = known[np.repeat(firsts[which] - upto + counts, counts) + np.arange(upto[-1])].tobytes()
+        at = 0
+        for owner, end in zip(owners, (4 * upto[np.searchsorted(offsets, ends) - 1]).tolist()):
+            out[owner].append(ids[at:end])
+            at = end
+
+    def _piece(self, piece: bytes) -> bytes:
         out = self.older.get(piece)
         if out is None:
-            letters = "".join(map(self.letters.__getitem__, piece.encode()))
+            letters = piece.decode("latin-1").translate(self.letters)
             out = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(piece) <= 64:
-            if len(self.pieces) >= CACHED_UNITS:
+            if len(self.pieces) >= CACHED_PIECES:
                 # What was used since the last turn stays at hand.
-                self.older, self.pieces = self.pieces, {}
+                self.older = self.pieces.copy()
+                self.pieces.clear()
             self.pieces[piece] = out
         return out
 
 
+@lru_cache(maxsize=1)
+def character_classes() -> np.ndarray:
+    """0 other white space, 1 the space, 2 letter, 3 number, 4 other, by code point."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out = np.full(0x110000, 4, dtype=np.uint8)
+    for run, mark in ((LETTERS, 2), (NUMBERS, 3), (SPACES, 0)):
+        for found in run.finditer(every):
+            first, last = ord(found[0][0]), ord(found[0][-1])
+            out[first : last + 1] = mark
+    out[ord(" ")] = 1
+    return out
+
+
+def piece_starts(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Byte places where a piece of the pre-tokenizer starts, in texts that end at ``ends``, none empty."""
+    points = np.frombuffer(data.decode().encode("utf-32-le"), "<u4")
+    places = None
+    if len(points) < len(data):
+        places = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        ends = np.append(places, len(data)).searchsorted(ends)
+    kind = character_classes()[points]
+    firsts = np.append(0, ends[:-1])
+    blank = kind < 2
+    before = np.empty_like(kind)
+    before[1:], before[firsts] = kind[:-1], 5
+    start = (before != kind) & (before != 1) & ~(blank & (before < 2))
+    # The last white space before a word is apart from those before it.
+    ahead = np.zeros(len(kind), dtype=bool)
+    ahead[:-1] = ~blank[1:]
+    ahead[ends - 1] = False
+    start |= blank & ahead
+    # 's and its like, unless the mark follows a space or belongs to a run of marks.
+    quotes = np.flatnonzero((points == 39) & (before != 1) & (before != 4))
+    if len(quotes):
+        rest = ends[ends.searchsorted(quotes, "right")]
+        padded = np.append(points, [0, 0])
+        one = np.where(rest - quotes > 1, padded[quotes + 1], 0)
+        two = np.where(rest - quotes > 2, padded[np.minimum(quotes + 2, len(points))], 0)
+        size = np.where(np.isin(one, [ord(c) for c in "stmd"]), 2, 0)
+        for a, b in ("re", "ve", "ll"):
+            size[(one == ord(a)) & (two == ord(b))] = 3
+        quotes, size, rest = quotes[size > 0], size[size > 0], rest[size > 0]
+        start[quotes + 1] = False
+        after = quotes + size
+        start[after[after < rest]] = True
+    start[firsts] = True
+    found = np.flatnonzero(start)
+    return found if places is None else places[found]
+
+
 @lru_cache(maxsize=4)
 def library_tokens(path: str) -> LibraryTokens:
     """Built once per Python worker."""
@@ -94,7 +188,7 @@ def pack_file(doc_ids: list[str | None], tokens: list[bytes], before: int) -> by
     index = zlib.compress(sizes.tobytes() + counts.tobytes() + b"".join(n or b"" for n in names))
     ids = np.frombuffer(b"".join(tokens), dtype="<u4")
     # Short files get short blocks, so that there are always many to code in step.
-    block_ids = int(np.clip(len(ids) // 2048, 512, 4096))
+    block_ids = int(np.clip(len(ids) // 2048, 512, MAX_BLOCK_IDS))
     head = HEADER.pack(MARK, VERSION, len(names), len(ids), before, len(index)) + index
     return head + CHECK.pack(zlib.crc32(head)) + encode_blocks(ids, block_ids)
 
@@ -143,20 +237,23 @@ def write_files(
     rows = rows.repartitionByRange("i", "h", "m").sortWithinPartitions("i", "h", "m")
     rows = rows.select(F.col("i").cast("string").alias("i"), "t")
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = {"part": pa.int32(), "file": pa.int32(), "first_doc": pa.string(), "n_docs": pa.int64(), "n_ids": pa.int64()}
+    schema = pa.schema({**kinds, "image": pa.binary()})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, table, close = TaskContext.get().partitionId(), library_tokens(tokenizer), array("I", [end_id]).tobytes()
         names: list[str | None] = []
         tokens: list[bytes] = []
         held = before = files = 0
 
-        def image() -> pd.DataFrame:
+        def image() -> pa.RecordBatch:
             row = (part, files, names[0], len(names), held // 4, pack_file(names, tokens, before))
-            return pd.DataFrame([row], columns=["part", "file", "first_doc", "n_docs", "n_ids", "image"])
+            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for name, text in zip(batch["i"], batch["t"]):
-                names.append(name if isinstance(name, str) else None)
-                tokens.append(table.encode(text or "") + close)
+            for name, ids in zip(batch.column(0).to_pylist(), table.encode(batch.column(1))):
+                names.append(name)
+                tokens.append(ids + close)
                 held += len(tokens[-1])
                 if held >= 4 * FILE_IDS:
                     yield image()
@@ -164,7 +261,7 @@ def write_files(
         if names:
             yield image()
 
-    images = rows.mapInPandas(pack, "part int, file int, first_doc string, n_docs long, n_ids long, image binary")
+    images = rows.mapInArrow(pack, "part int, file int, first_doc string, n_docs long, n_ids long, image binary")
     images.write.parquet(folder)
 
 
